@@ -18,15 +18,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, remainder, texts_of
+from .common import Kept, documents, remainder, texts_of
 from .sampling import labelled_sample
 
 #: Labelled training texts of each class at most: the classifier's only bound, and a parameter.
 PER_CLASS = 10_000
 #: Standard deviations by which a token's log-odds must exceed 0.
-CLEAR = 4.0
+CLEAR = 2.5
 #: A segment counts as significant if fewer than this many like it are expected in harmless text of that length.
 EXPECTED = 0.05
+#: Stems: a word without a weight of its own takes that of its longest known beginning of so many letters.
+STEMS = (6, 5, 4)
+#: The pooled counts enter the prior with this share of their weight.
+PRIOR = 0.05
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -34,6 +38,11 @@ def tokens(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def features(word: str) -> list[str]:
+    """The word, then its stems, longest first."""
+    return [word, *[word[:n] + "*" for n in STEMS if len(word) >= n]]
+
+
 @dataclass(frozen=True)
 class Weights:
     positive: dict[str, float]
@@ -43,15 +52,15 @@ class Weights:
     k: float = 0.1
 
 
-def weights(sample: DataFrame, clear: float = CLEAR, prior: float = 1000.0) -> Weights:
-    """Token weights from (text, label) with labels 0 and 1. Counts are summed by token across tasks."""
+def weights(sample: DataFrame, clear: float = CLEAR, share: float = PRIOR) -> Weights:
+    """Token weights from (text, label) with labels 0 and 1. Each text counts a token once; tasks' counts are summed by token."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: tuple[dict[str, int], dict[str, int]] = ({}, {})
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 into = totals[label]
-                for t in tokens(text):
+                for t in {x for word in set(tokens(text)) for x in features(word)}:
                     into[t] = into.get(t, 0) + 1
         for label, into in enumerate(totals):
             items = list(into.items())
@@ -65,7 +74,8 @@ def weights(sample: DataFrame, clear: float = CLEAR, prior: float = 1000.0) -> W
     n_a, n_b = sums["a"] or 0, sums["b"] or 0
     if not n_a or not n_b:
         return Weights({}, -0.5)
-    alpha = (F.col("a") + F.col("b")) * F.lit(prior / (n_a + n_b))
+    prior = share * (n_a + n_b)
+    alpha = (F.col("a") + F.col("b")) * F.lit(share)
     left, right = F.col("a") + alpha, F.col("b") + alpha
     odds = F.log(left / (n_a + prior - left)) - F.log(right / (n_b + prior - right))
     scored = by_token.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / left + 1 / right)).where(F.col("z") > clear)
@@ -100,33 +110,31 @@ def segments(places: list[int], values: list[float], negative: float) -> list[tu
     Each candidate keeps the running sum before and after it; a new one is joined to the earlier
     ones as long as that makes a higher sum (Ruzzo and Tompa's rule).
     """
-    found: list[tuple[int, int, float, float]] = []  # first, last + 1, sum before, sum after
+    found: list[tuple[int, int, float, float, int]] = []  # first, last + 1, sum before, sum after, nearest earlier one with a lower sum before
     total, at = 0.0, 0
     for place, value in zip(places, values, strict=True):
-        before = total + negative * (place - at)
-        total, at = before + value, place + 1
-        first, low = place, before
-        waiting = len(found)
+        low = total + negative * (place - at)
+        total, at, first, near = low + value, place + 1, place, len(found) - 1
         while True:
-            while waiting and found[waiting - 1][2] >= low:
-                waiting -= 1
-            if not waiting or found[waiting - 1][3] >= total:
+            while near >= 0 and found[near][2] >= low:
+                near = found[near][4]
+            if near < 0 or found[near][3] >= total:
                 break
-            waiting -= 1
-            first, low = found[waiting][0], found[waiting][2]
-            del found[waiting:]
-        found.append((first, place + 1, low, total))
-    return [(a, b, high - low) for a, b, low, high in found]
+            first, _, low, _, before = found[near]
+            del found[near:]
+            near = before
+        found.append((first, place + 1, low, total, near))
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 def evidence(texts: list[str], w: Weights) -> tuple[np.ndarray, list[list[tuple[int, int, float, float]]]]:
     """Per text the numbers that the regression takes, and its segments (first, end, score, E-value)."""
     rows, passages = np.zeros((len(texts), 5)), []
-    known = w.positive
+    known = Kept(lambda word: next((w.positive[x] for x in features(word) if x in w.positive), 0.0))
     for i, text in enumerate(texts):
         words = tokens(text)
         n = len(words)
-        hits = [(k, known[t]) for k, t in enumerate(words) if t in known]
+        hits = [(k, v) for k, v in enumerate(map(known.__getitem__, words)) if v]
         found = [(a, b, s, w.k * max(n, 1) * float(np.exp(-w.rate * s))) for a, b, s in segments([k for k, _ in hits], [v for _, v in hits], w.negative)]
         best = min((e for *_, e in found), default=None)
         strength = 0.0 if best is None else float(np.clip(-np.log(max(best, 1e-30)), -10, 30)) / 10
@@ -162,22 +170,22 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Fit on labelled documents of the training fold. Without labels of both classes every score is the prior.
 
-    The sample is split in two by a hash of the id: weights come from one half, the extreme-value
-    constant and the regression from the other, so that the regression sees weights as unseen text does.
+    A hash of the id splits the sample: weights come from three quarters, the regression from the
+    last, so that the regression sees weights as unseen text does.
     The class shares of all labelled training rows set the regression's intercept.
     """
     fold = labels.where((remainder(F.col("doc_id"), 4) != 2) & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("label"))
     shares = {r["label"]: r["count"] for r in fold.groupBy("label").count().collect()}
     sample = labelled_sample(docs, fold, per_class)
-    half = F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id")), F.lit(2))
-    w = weights(sample.where(half == 0))
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id")), F.lit(4))
+    w = weights(sample.where(part != 1))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, passages = evidence(batch.column(0).to_pylist(), w)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(rows), pa.list_(pa.float64()))], ["label", "x"])
 
-    seen = sample.where(half == 1).select("text", "label").mapInArrow(gather, "label int, x array<double>").collect()  # per_class numbers a class
+    seen = sample.where(part == 1).select("text", "label").mapInArrow(gather, "label int, x array<double>").collect()  # per_class numbers a class
     if len({r["label"] for r in seen}) < 2:
         prior = (shares.get(1, 0) + 0.5) / (sum(shares.values()) + 1)
         return Model(w, (float(np.log(prior / (1 - prior))), 0.0, 0.0, 0.0, 0.0))
