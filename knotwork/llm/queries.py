@@ -8,12 +8,13 @@ from .pieces import op4_sentencepiece
 from .quality import op6_quality_rules
 from .secrets import op2_secret_scans
 from .simhash import op10_simhash
+from .spotsigs import op7_document_fingerprints
 from .substrings import op9_substring_dedup
 from .toxicity import op8_toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scans, op4_sentencepiece, op5_language_id, op6_quality_rules, op8_toxicity, op9_substring_dedup, op10_simhash)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scans, op4_sentencepiece, op5_language_id, op6_quality_rules, op7_document_fingerprints, op8_toxicity, op9_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
