@@ -11,10 +11,14 @@ from .common import staged, texts_of
 def labelled_sample(docs: DataFrame, classes: DataFrame, per_class: int) -> DataFrame:
     """(doc_id, text, label) of at most per_class documents of each label: those whose id has the smallest hash.
 
-    classes: (doc_id, label). Only ids and labels are ranked; per_class rows a label leave each task,
-    and the chosen ids, bounded by per_class times the labels, go to every task that reads texts.
+    classes: (doc_id, label). Only ids and labels are ranked, and the chosen ids, bounded by per_class
+    times the labels, go to every task that reads texts.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = classes.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
-    chosen = chosen.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).select("doc_id", "label")
+    place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 30) - 1))
+    order = Window.partitionBy("label").orderBy("_place", "doc_id")
+    rows = classes.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label")).withColumn("_place", place)
+    sizes = rows.groupBy("label").agg(F.count("*").alias("_size"))
+    # thinned first, so that little more than per_class rows of a label meet in a task
+    near = rows.join(sizes, "label").where(F.col("_place") <= F.lit(1.2 * per_class * (1 << 30)) / F.col("_size"))
+    chosen = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).select("doc_id", "label")
     return staged(texts_of(docs).join(F.broadcast(chosen), "doc_id"), "sample")
