@@ -124,8 +124,13 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose text is in a learned language; those that are `und` or of score below `least` go."""
+    """The rows of docs whose text is in a learned language; those that are `und` or of score below `least` go.
+
+    Where no language could be learned, for want of labels, nothing can be told and all rows stay.
+    """
     languages, table = train(docs)
+    if not languages:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast((languages, table))
     columns = docs.columns
 

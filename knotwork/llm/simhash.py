@@ -146,13 +146,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs without near-duplicates: of each component the row with the least doc_id stays.
 
-    Of rows that share that id, one stays: they are told apart by a hash of the text, and equal ones are one row.
+    Of rows that share that id, one stays, chosen by a hash of its text. Rows without an id can't be
+    named as their group's and stay as they are.
     """
     columns = docs.columns
     kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    rows = docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return rows.withColumn("_one", F.row_number().over(order)).where("_one = 1").select(*columns)
+    one = rows.withColumn("_one", F.row_number().over(order)).where("_one = 1").select(*columns)
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
