@@ -35,7 +35,7 @@ from .common import Kept, documents, staged, width
 WINDOW = 20
 CHAIN = 3
 #: Words that are handled at once, and chains that a task gathers before it sends them.
-BLOCK_WORDS, HELD = 250_000, 2_000_000
+BLOCK_WORDS, HELD = 100_000, 1_000_000
 #: One chain in so many, by its name, is sent and tested.
 TESTED = 2
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -62,7 +62,7 @@ class WordNames:
     def __init__(self) -> None:
         import xxhash
 
-        self.names = Kept(lambda word: xxhash.xxh128_digest(word), 400_000)
+        self.names = Kept(xxhash.xxh128_digest, 100_000)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.names.__getitem__, words)), "<u8").reshape(-1, 2)
@@ -469,7 +469,7 @@ def word_names() -> WordNames:
 
 
 def without_repeated_passages(docs: DataFrame) -> DataFrame:
-    """docs, same columns, with the words of repeated passages gone from `text`."""
+    """docs, same columns, with the words of repeated passages gone from `text`; a null text becomes an empty one."""
     rest = tuple(c for c in docs.columns if c != "text")
     found = remove_repeats(docs, keep=rest)
     names = {c: f"c{i}" for i, c in enumerate(rest)} | {"text": "kept"}
