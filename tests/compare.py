@@ -58,7 +58,7 @@ if __name__ == "__main__":
     sf = sys.argv[1]
     con, sql = connection(sf), e.oracle_sql()
     for name, q in e.queries().items():
-        if len(sys.argv) > 2 and name not in sys.argv[2:] or name.startswith(("op", "pipeline")):
+        if name not in sys.argv[2:] if len(sys.argv) > 2 else name.startswith(("op", "pipeline")):
             continue
         began = time.time()
         try:
