@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 
 from .language import op5_language_id
+from .oracle import oracle_sql
 from .packing import op1_best_fit_packing
 from .pieces import op4_sentencepiece
 from .pitman_yor import op3_lm_scoring
@@ -20,5 +21,4 @@ def queries() -> dict:
     return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scans, op3_lm_scoring, op4_sentencepiece, op5_language_id, op6_quality_rules, op7_document_fingerprints, op8_toxicity, op9_substring_dedup, op10_simhash)}
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries"]
