@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .index import FALL, exact_postings, postings, vocabulary, weight
+from .index import FALL, exact_postings, postings, weight
 
 #: Kind of term -> how many of the rarest terms a query falls back to.
 FALLBACK = {"tokens": 2, "char3": 4, "char4": 4}
@@ -35,19 +35,21 @@ def exact(queries: DataFrame, targets: DataFrame) -> DataFrame:
     return _ranked(kept.withColumn("score", F.lit(1.0)), None)
 
 
-def _scoped(asked: DataFrame, posted: DataFrame) -> DataFrame:
-    """asked (q, country, term) for each source, with the scope to search: its country, or '*'."""
-    known = posted.select("src", F.col("country").alias("scope")).distinct()
-    sources = posted.select("src").distinct()
-    every = asked.join(F.broadcast(sources))  # a row for each source: two or three
-    return every.join(known, (every["country"] == known["scope"]) & (every["src"] == known["src"]), "left").select("q", every["src"], "term", *[c for c in asked.columns if c not in ("q", "country", "term")], F.coalesce("scope", F.lit("*")).alias("scope"))
+def _counted(asked: DataFrame, posted: DataFrame) -> DataFrame:
+    """asked (q, country, term, ...) for each source, with the scope to search (its country, or '*') and the term's df.
 
-
-def _in_scope(scoped: DataFrame, posted: DataFrame) -> DataFrame:
-    """Only terms that some record of the scope holds."""
-    there = posted.select("src", "term", F.col("country").alias("scope")).distinct()
-    anywhere = posted.select("src", "term").distinct()
-    return scoped.where("scope <> '*'").join(there, ["src", "term", "scope"], "left_semi").unionByName(scoped.where("scope = '*'").join(anywhere, ["src", "term"], "left_semi"))
+    Terms that no record of the scope holds are dropped. Everything comes from one aggregate of the
+    postings by source, country and term, which Spark computes once.
+    """
+    lists = posted.groupBy("src", "country", "term").agg(F.count("*").alias("n"))
+    known = lists.select("src", "country").distinct()
+    rest = [c for c in asked.columns if c not in ("q", "country", "term")]
+    every = asked.join(F.broadcast(known.select("src").distinct()))  # a row for each source: two or three
+    here = known.withColumn("scope", F.col("country"))
+    scoped = every.join(here, ["src", "country"], "left").select("q", "src", "term", *rest, F.coalesce("scope", F.lit("*")).alias("scope"))
+    dfs = lists.groupBy("src", "term").agg(F.sum("n").alias("df"), F.collect_set("country").alias("_in"))
+    met = scoped.join(dfs, ["src", "term"])
+    return met.where((F.col("scope") == "*") | F.array_contains("_in", F.col("scope"))).drop("_in")
 
 
 def _met(weighted: DataFrame, posted: DataFrame) -> DataFrame:
@@ -69,7 +71,7 @@ def by_terms(queries: DataFrame, targets: DataFrame, kind: str, k: int = 50, cap
     if kind == "tokens":
         own = F.filter(own, lambda t: ~t.isin(T.BUSINESS_STOP))
     asked = queries.select(F.col("id").alias("q"), "country", F.explode(F.array_distinct(own)).alias("term"))
-    counted = _in_scope(_scoped(asked, posted), posted).join(vocabulary(posted), ["src", "term"])
+    counted = _counted(asked, posted)
     each = Window.partitionBy("q", "src")
     counted = counted.withColumn("fits", F.max(F.col("df") <= cap).over(each)).withColumn("rarity", F.row_number().over(each.orderBy("df", "term")))
     chosen = counted.where(F.when(F.col("fits"), F.col("df") <= cap).otherwise(F.col("rarity") <= FALLBACK[kind]))
@@ -85,7 +87,7 @@ def by_address(queries: DataFrame, targets: DataFrame, k: int = 50, cap: int = 5
     words = F.filter(F.col("addr_tokens"), lambda t: ~t.isin(T.ADDRESS_STOP))
     stream = lambda column, postal: queries.select(F.col("id").alias("q"), "country", F.explode(column).alias("term"), F.lit(postal).alias("postal"))
     asked = stream(words, False).unionByName(stream(F.col("postal"), True))
-    counted = _in_scope(_scoped(asked, posted), posted).join(vocabulary(posted), ["src", "term"]).where(F.col("postal") | (F.col("df") <= cap))
+    counted = _counted(asked, posted).where(F.col("postal") | (F.col("df") <= cap))
     w = F.when(F.col("postal"), weight(F.col("df"), 0.05, 3.0)).otherwise(weight(F.col("df"), FALL["addr"]))
     return _summed(_met(counted.withColumn("w", w), posted), k)
 

@@ -24,7 +24,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Enriched queries (source 1) and targets (sources 2 and 3)."""
-    every = enrich(records(spark, sf_dir))
+    every = enrich(records(spark, sf_dir)).persist()  # every tier of a search reads it several times
     return every.where("src = 'S1'"), every.where("src <> 'S1'")
 
 
