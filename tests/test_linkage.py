@@ -159,7 +159,7 @@ def test_merging_tiers_early_or_late_is_the_same(random_sides):
 
 def test_features(spark):
     pairs = [
-        (("S1-100", "Amazon Services LLC", "410 Terry Ave N, Seattle, WA 98109", "US"), ("S2-200", "Amazon Web Services Inc", "410 Terry Ave North, Seattle, 98109", "US")),
+        (("S1-100", "Orinoco Services LLC", "410 Terry Ave N, Seattle, WA 98109", "US"), ("S2-200", "Orinoco Web Services Inc", "410 Terry Ave North, Seattle, 98109", "US")),
         (("S1-101", "Café de la Paix", "5 Place de l'Opéra, 75009 Paris", "FR"), ("S3-301", "Cafe de la Paix S.A.", "5 Pl. de l'Opera, Paris 75009", "FR")),
         (("S1-102", "Toyota Motor Corp", "", "JP"), ("S2-202", "Honda Motor Co", "Minato-ku Tokyo", "JP")),
         (("S1-103", "Acme Corp", "123 Main St", ""), ("S3-303", "Acme Corp", "123 Main St", "US")),
