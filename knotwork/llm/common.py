@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +59,24 @@ class Kept(dict):
         self[key] = value
 
 
+_ALONE: dict = {}
+
+
+def alone(name: str, make: Callable):
+    """What make() gives, kept in this Python worker until another name is asked for.
+
+    Workers outlive operators, so the tables of one must not stay beside those of the next.
+    """
+    if name not in _ALONE:
+        _ALONE.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+        _ALONE[name] = make()
+    return _ALONE[name]
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text) of docs, whatever else it holds; a null text becomes an empty one."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

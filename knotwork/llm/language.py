@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, remainder, texts_of
+from .common import alone, documents, remainder, texts_of
 from .sampling import labelled_sample
 
 #: Training texts for each language at most: the classifier's only bound, and a parameter.
@@ -135,6 +135,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("language", dict)
         for batch in batches:
             texts = ["" if x is None else x for x in batch.column(columns.index("text")).to_pylist()]
             predicted, score = judged(texts, *shared.value)

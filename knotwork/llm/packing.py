@@ -13,14 +13,13 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Kept, documents, staged, texts_of, width
+from .common import Kept, alone, documents, staged, texts_of, width
 
 #: The characters with the Unicode property White_Space.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -39,30 +38,43 @@ class ByteBpe:
     def __init__(self, path: str) -> None:
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.path, self._library = path, None
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
         self.added = [x["content"] for x in model.get("added_tokens", [])]
         letters = _byte_letters()
         ranks = {bytes(letters[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in self.added}
         bpe = tiktoken.Encoding("file", pat_str=r"\s+|\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-        words = Kept(lambda word: array("I", bpe(word.encode())).tobytes())
+        self.words = words = Kept(lambda word: array("I", bpe(word.encode())).tobytes(), 120_000)
         split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+").findall
-        stretches = Kept(lambda stretch: b"".join(map(words.__getitem__, split(stretch))))
-        self.ids = stretches.__getitem__
+        self.known = Kept(lambda stretch: b"".join(map(words.__getitem__, split(stretch))), 200_000)
+        self.ids = self.known.__getitem__
         self.stretches = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]").findall
 
+    @property
+    def library(self):
+        """The tokenizers library's own tokenizer, loaded where it is needed."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+        return self._library
+
+    def forget(self) -> None:
+        """Drop what is kept of texts."""
+        for kept in (self.words, self.known):
+            kept.clear()
+            kept.older = {}
+
     def encode(self, text: str) -> bytes:
         if any(x in text for x in self.added):
             return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.ids, self.stretches(text)))
 
 
-@lru_cache(maxsize=1)
 def byte_bpe(path: str) -> ByteBpe:
-    return ByteBpe(path)
+    return alone(f"byte_bpe {path}", lambda: ByteBpe(path))
 
 
 def _byte_letters() -> dict[str, int]:
@@ -98,6 +110,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = 1024, end_id: int = 2,
             if with_ids:
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
+        bpe.forget()  # the worker outlives this task
 
     return texts_of(docs, id_col, text_col).mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
 

@@ -13,12 +13,11 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Kept, documents, texts_of
+from .common import Kept, alone, documents, texts_of
 
 SPACE = "▁"
 
@@ -172,9 +171,8 @@ class PieceCoder:
         return out
 
 
-@lru_cache(maxsize=1)
 def piece_coder(path: str) -> PieceCoder:
-    return PieceCoder(path)
+    return alone(f"pieces {path}", lambda: PieceCoder(path))
 
 
 def encode(docs: DataFrame, model: str, with_spans: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, shared_dir, staged, texts_of
+from .common import alone, documents, shared_dir, staged, texts_of
 from .components import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -55,6 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp) of every row; null and empty texts have fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("simhash", dict)
         for batch in batches:
             found = np.asarray([fingerprint(shingle_hashes(t)) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64())], ["doc_id", "fp"])
@@ -63,27 +65,33 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 @lru_cache(maxsize=1)
-def golay() -> tuple[np.ndarray, np.ndarray]:
-    """(error pattern by syndrome, syndrome by word) of the Golay code with generator x^11+x^9+x^7+x^6+x^5+x+1.
+def golay() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(error pattern by syndrome, syndromes of the low 12 bits, syndromes of the high 11) of the Golay code with generator x^11+x^9+x^7+x^6+x^5+x+1.
 
-    The syndrome of a word is its remainder by the generator; the 2048 patterns of up to 3 bits have all different ones.
+    A word's syndrome is its remainder by the generator, which is linear: that of its low bits plus that
+    of its high ones. The 2048 patterns of up to 3 bits have all different syndromes.
     """
     generator = 0b101011100011
-    words = np.arange(1 << 23, dtype=np.int32)
-    rest = words.copy()
-    for bit in range(22, 10, -1):
-        rest ^= np.where(rest >> bit & 1, generator << (bit - 11), 0).astype(np.int32)
-    light = words[np.bitwise_count(words) <= 3]
-    errors = np.zeros(1 << 11, np.int32)
-    errors[rest[light]] = light
-    return errors, rest.astype(np.int16)
+
+    def rest(word: int) -> int:
+        for bit in range(22, 10, -1):
+            if word >> bit & 1:
+                word ^= generator << (bit - 11)
+        return word
+
+    errors = np.zeros(1 << 11, np.int64)
+    for n in range(4):
+        for bits in combinations(range(23), n):
+            pattern = sum(1 << b for b in bits)
+            errors[rest(pattern)] = pattern
+    return errors, np.asarray([rest(x) for x in range(1 << 12)]), np.asarray([rest(x << 12) for x in range(1 << 11)])
 
 
 def codewords(words: np.ndarray) -> np.ndarray:
     """Indices (12 bits) of the codewords near each 23-bit word: its own and those of its 23 neighbours, a row each."""
-    errors, syndromes = golay()
+    errors, low, high = golay()
     near = words[:, None] ^ np.concatenate(([0], 1 << np.arange(23))).astype(np.int64)
-    return (near ^ errors[syndromes[near]]) >> 11
+    return (near ^ errors[low[near & 0xFFF] ^ high[near >> 12]]) >> 11
 
 
 def keys(prints: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Kept, documents, staged, texts_of, width
+from .common import Kept, alone, documents, staged, texts_of, width
 
 CHAIN = 2
 #: Common words of English, French, German and Spanish.
@@ -37,7 +37,6 @@ def _name(word: bytes) -> bytes:
 
 
 _COMMON = {x.encode() for x in COMMON}
-_NAMES = Kept(_name, 400_000)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -68,7 +67,8 @@ def signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _block(words: list[bytes], edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    names = np.frombuffer(b"".join(map(_NAMES.__getitem__, words)), "<u8")
+    known = alone("spot names", lambda: Kept(_name, 200_000))
+    names = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u8")
     n_texts = len(edges) - 1
     owner = np.repeat(np.arange(n_texts), np.diff(edges))
     content = np.flatnonzero(names & np.uint64(1) == 0)

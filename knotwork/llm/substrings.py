@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Kept, documents, staged, width
+from .common import Kept, alone, documents, staged, width
 
 WINDOW = 20
 CHAIN = 3
@@ -458,14 +458,8 @@ def together(table: pa.Table, name: str) -> np.ndarray:
     return np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in table[name].to_pylist()] or [np.zeros(0, np.uint64)]))
 
 
-_NAMES: list[WordNames] = []
-
-
 def word_names() -> WordNames:
-    """One table of names for each Python worker."""
-    if not _NAMES:
-        _NAMES.append(WordNames())
-    return _NAMES[0]
+    return alone("word names", WordNames)
 
 
 def without_repeated_passages(docs: DataFrame) -> DataFrame:
