@@ -20,21 +20,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Kept, documents, remainder, staged, texts_of, width
+from .common import Kept, alone, documents, remainder, staged, texts_of, width
 
 #: Restaurants of contexts; rounds of seating; the first rounds, which are not averaged.
 CONTEXTS, ROUNDS, BURN_IN = 1 << 16, 4, 1
 STRENGTH, PARENT_STRENGTH = 1.0, 10.0
 #: Tokens that a task packs at once, and documents among them at most.
-BLOCK_TOKENS, BLOCK_DOCS = 2_000_000, 30_000
+BLOCK_TOKENS, BLOCK_DOCS = 700_000, 30_000
 END = b"\n"  # no word holds it
 SLICE = 4096
 
-_NAMES = Kept(lambda word: __import__("xxhash").xxh64_intdigest(word).to_bytes(8, "little"), 400_000)
+
+
+def name(word: bytes) -> bytes:
+    return xxhash.xxh64_intdigest(word).to_bytes(8, "little")
 
 
 def _heads(*columns: np.ndarray) -> np.ndarray:
@@ -68,10 +72,11 @@ def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
     lengths: list[int] = []
     ids: list = []
     held: list[bool] = []
+    known = alone("token names", lambda: Kept(name, 100_000))
 
     def made() -> Tokens:
-        names = np.frombuffer(b"".join(map(_NAMES.__getitem__, words)), "<u8")
-        before = np.concatenate((np.frombuffer(_NAMES[END], "<u8"), names[:-1]))
+        names = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u8")
+        before = np.concatenate((np.frombuffer(name(END), "<u8"), names[:-1]))
         contexts = ((before * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % CONTEXTS
         return Tokens(names, contexts.astype(np.uint16 if CONTEXTS <= 1 << 16 else np.uint32), np.repeat(np.arange(len(lengths)), lengths), list(ids), np.asarray(held))
 
@@ -294,7 +299,7 @@ def score_bucket(table: pa.Table, state: State, n_rounds: int, burn_in: int) ->
     order = np.lexsort((contexts, names))
     names, contexts, owners, block = names[order], contexts[order], owners[order], block[order]
     new = _heads(names, contexts)
-    pair = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(names))))
+    pair = np.repeat(np.arange(len(new), dtype=np.int32), np.diff(np.append(new, len(names))))
     counts = np.bincount(pair, (owners & 1) == 0, len(new)).astype(np.int64)
     pair_name, pair_context = names[new], contexts[new]
     del names, contexts, order
@@ -324,8 +329,13 @@ def score_bucket(table: pa.Table, state: State, n_rounds: int, burn_in: int) ->
     p /= max(1, n_rounds - burn_in) if n_rounds > burn_in else 1
     base = np.log10(((by_word[place] if len(own) else 0) * known + 1) / (state.n + 1 * (state.v + 1)))
     key = block.astype(np.int64) << 16 | owners >> 1
-    docs, at = np.unique(key, return_inverse=True)
-    scores, bases, n_known = np.bincount(at, np.log10(p)[pair]), np.bincount(at, base[pair]), np.bincount(at, known[pair])
+    del block, owners
+    order = np.argsort(key, kind="stable")
+    key, pair = key[order], pair[order]
+    del order
+    new = _heads(key)
+    docs = key[new]
+    scores, bases, n_known = (np.add.reduceat(x[pair], new) for x in (np.log10(p), base, known.astype(np.int64)))
     rows = []
     edges = np.searchsorted(docs >> 16, np.arange(table.num_rows + 1))
     for i, (j, e) in enumerate(zip(edges, edges[1:], strict=False)):
@@ -356,7 +366,7 @@ def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN
     A null text counts as empty: its only token is the end. A null id is in the training fold. Without
     training documents every token is unknown. An empty table gives an empty one.
     """
-    n_buckets = width(docs.sparkSession)
+    n_buckets = 2 * width(docs.sparkSession)
     rows = texts_of(docs).select("doc_id", F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out"), "text")
     state = train(rows.where(~F.col("held_out")), n_buckets, n_rounds)
     shared = docs.sparkSession.sparkContext.broadcast(state)

@@ -35,14 +35,14 @@ def corpus():
 
 
 def name(word):
-    return int.from_bytes(py._NAMES[word.encode()], "little")
+    return int.from_bytes(py.name(word.encode()), "little")
 
 
 def context(word):
     return (name(word) * 0x9E3779B97F4A7C15 % (1 << 64) >> 40) % py.CONTEXTS
 
 
-def probability(state, texts, word, before, n_buckets=8):
+def probability(state, texts, word, before, n_buckets=16):
     """The averaged predictive rule for one pair, written out; seats are replayed from the counts."""
     where = lambda n: (n >> 33) % n_buckets
     counts = Counter()
@@ -69,7 +69,7 @@ def test_probabilities_sum_to_one_and_make_the_score(spark):
     words, rows = corpus()
     texts = [t for _, t in rows]
     frame = spark.createDataFrame([(i, False, t) for i, t in rows], "doc_id long, held_out boolean, text string")
-    state = py.train(frame, 8)
+    state = py.train(frame, 16)
     assert state.n == 60 * 41 and state.v == 31
     for before in ("w3", "w17", "\n"):
         assert sum(probability(state, texts, w, before) for w in [*words, "\n", "unknown"]) == pytest.approx(1, abs=1e-9)
