@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import language, packing, secrets, simhash, substrings
+from knotwork.llm import language, packing, resemblance, secrets, substrings
 from knotwork.llm.common import documents, staged
 
 
@@ -26,8 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays."""
-    return simhash.keep_one(docs)
+    """Of each group of texts that share four fifths of their runs of five words the document with the least id stays."""
+    return resemblance.keep_one(docs)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
