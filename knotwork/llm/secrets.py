@@ -26,6 +26,8 @@ class Rule:
     group: int
     least: int
     version: int = 1
+    #: The same expression for Java, where it needs possessive repeats so as not to use up the stack; SQL doesn't know them.
+    steady: str = ""
 
     @property
     def name(self) -> str:
@@ -39,11 +41,18 @@ ASSIGN = Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x2
 ACCESS = Rule("access", r"AKIA[A-Z0-9]{16,}", 0, 20)
 HEX = Rule("hex", r"[0-9a-f]{24,}", 0, 24)
 BASE = (ASSIGN, ACCESS, HEX)
-#: Formats that name themselves: signed web tokens, private key headers, credentials in an address.
+#: A key goes up to its END line; with none after it, to the end of the base64 text: runs of 40 characters or more
+#: and a last shorter one. Headers within it hold single dashes. Written so that SQL's expressions know it too.
+_LINES = r"(?:[\s\\]*[A-Za-z0-9+/]{40,})"
+KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,40}-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:\s*(?:Proc-Type|DEK-Info):\x20*[^\s]+){0,2}(?:" + _LINES + r"+(?:=+|[\s\\]+[A-Za-z0-9+/]*=+|\r?\n[A-Za-z0-9+/]+(?m:$))?)?)"
+)
+#: Formats that name themselves: signed web tokens, private keys, credentials in an address.
 MORE = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
-    Rule("key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
-    Rule("login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@", 0, 1),
+    Rule("key", KEY, 0, 1, 2, KEY.replace(_LINES + "+", _LINES + "++")),
+    Rule("login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]+:[^\s/:@]{3,}@", 0, 1, 2),
 )
 RULES = BASE + MORE
 #: What a text must hold for a rule's pattern to be tried at all: each pattern implies it.
@@ -53,9 +62,10 @@ SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
 def spans(text: Column, rule: Rule, rank: int) -> Column:
     """The rule's matches in the text, leftmost first and not overlapping, as code points; short ones are left out."""
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    sized = F.transform(found, F.length) if rule.group == 0 else F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), F.length)
-    steps = F.arrays_zip(F.transform(F.split(text, rule.pattern, -1), F.length).alias("gap"), F.transform(found, F.length).alias("size"), sized.alias("kept"))
+    pattern = rule.steady or rule.pattern
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    sized = F.transform(found, F.length) if rule.group == 0 else F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)), F.length)
+    steps = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), F.transform(found, F.length).alias("size"), sized.alias("kept"))
     empty = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
