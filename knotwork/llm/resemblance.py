@@ -150,14 +150,14 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs without near copies: of each component the row with the least doc_id stays.
+    """One row of docs for each group of near copies: the one with the least doc_id, rows without an id last, then by a hash of id and text.
 
     Texts are near copies if the Jaccard similarity of their runs of `words` words is `similarity` at
-    least; components are over chains of them. Rows without an id can't be named as their group's and
-    stay as they are.
+    least; groups are over chains of them. Rows are told apart by id and text, so rows of one id with
+    different texts are different documents.
     """
     columns = docs.columns
     nodes, rows = near_copies(docs, words, similarity)
-    kept = nodes.groupBy("component").agg(F.min("least").alias("least")).where("not least.no_id").select(F.col("least.row").alias("_row"))
-    one = rows.join(kept, "_row", "left_semi").withColumn("_one", F.row_number().over(Window.partitionBy("_row").orderBy("_row"))).where("_one = 1").select(*columns)
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = nodes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("_row"))
+    one = Window.partitionBy("_row").orderBy("_row")
+    return rows.join(kept, "_row", "left_semi").withColumn("_one", F.row_number().over(one)).where("_one = 1").select(*columns)

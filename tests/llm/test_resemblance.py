@@ -48,3 +48,11 @@ def test_pairs_of_similar_shingles_are_one_group(spark):
     rows = near_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert sorted(r.doc_id for r in resemblance.keep_one(docs).collect()) == brute(rows)
+
+
+def test_one_row_a_group_with_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, b + " end"), (None, c), (None, c), (None, c + " end"), (None, a)]
+    kept = [(r.doc_id, r.text) for r in resemblance.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert sorted(kept[i] for i in range(len(kept)) if kept[i][0] is not None) == [(1, a), (1, b)]
+    assert len(kept) == 3 and {(None, c), (None, c + " end")} & set(kept)
