@@ -20,13 +20,16 @@ ORDERS = (1, 2, 3)
 BLOCK = 1 << 20
 
 
-def hashed(points: np.ndarray, bits: int = BITS) -> list[np.ndarray]:
-    """Feature numbers of the n-grams that start at each place, for each order; an n-gram at the end may be cut short."""
+def hashed(points: np.ndarray, ends: np.ndarray | None = None, bits: int = BITS) -> list[np.ndarray]:
+    """Feature numbers of the n-grams that start at each place, for each order; none goes beyond the end of its text, where it is cut short."""
+    ends = np.asarray([len(points)]) if ends is None else ends
     low = np.where((points >= 65) & (points <= 90), points + 32, points).astype(np.uint32)
     out, state = [], np.zeros(len(low), np.uint32)
     for n in ORDERS:
         following = np.zeros(len(low), np.uint32)
         following[: max(0, len(low) - n + 1)] = low[n - 1 :]
+        over = (ends[:, None] - 1 - np.arange(n - 1)).ravel()
+        following[over[over >= 0]] = 0
         state = state * np.uint32(0x9E3779B1) + following + np.uint32(n)
         mixed = (state ^ (state >> np.uint32(15))) * np.uint32(0x85EBCA77)
         out.append(mixed >> np.uint32(32 - bits))
@@ -51,6 +54,11 @@ def blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         yield np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])]), np.asarray(owners)
 
 
+def text_ends(points: np.ndarray, starts: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Where the texts of a block end; parts of one text are joined."""
+    return np.append(starts[1:][owners[1:] != owners[:-1]], len(points))
+
+
 def fit(sample: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
     """The languages, and log P(feature | language) by feature and language. sample: (doc_id, text, label), bounded."""
     languages = [r[0] for r in sample.select("label").distinct().orderBy("label").collect()]
@@ -63,9 +71,10 @@ def fit(sample: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarra
             texts, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for points, starts, owners in blocks(texts):
                 lengths = np.diff([*starts, len(points)])
+                found = hashed(points, text_ends(points, starts, owners))
                 for k in {labels[i] for i in owners}:
                     mask = np.repeat([labels[i] == k for i in owners], lengths)
-                    for n, features in enumerate(hashed(points)):
+                    for n, features in enumerate(found):
                         total[place[k], n << BITS : (n + 1) << BITS] += np.bincount(features[mask], minlength=1 << BITS)
         for i, row in enumerate(total):
             if row.any():
@@ -88,7 +97,7 @@ def judged(texts: list[str], languages: list[str], weights: np.ndarray) -> tuple
     sums = np.zeros((len(texts), len(languages)))
     for points, starts, owners in blocks(texts):
         value = np.zeros((len(points), len(languages)), np.float32)
-        for n, features in enumerate(hashed(points)):
+        for n, features in enumerate(hashed(points, text_ends(points, starts, owners))):
             value += weights[n << BITS : (n + 1) << BITS][features]
         np.add.at(sums, owners, np.add.reduceat(value, starts, axis=0, dtype=np.float64))
     best = sums.argmax(axis=1)
