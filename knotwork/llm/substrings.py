@@ -1,21 +1,26 @@
 """Removal of repeated passages, found by recompression.
 
-Two rounds of recompression rename the words of a text. A round first names runs of equal symbols,
-then splits the alphabet in two by a hash and names each pair of a left symbol before a right one.
-Names are keyed hashes of what they stand for, so all tasks of a Spark round give equal strings equal
-names without exchanging a dictionary. Within a repeated window the names agree but near its edges,
-and how far the edges reach follows from the window's own symbols (`safe_left`, `safe_right`).
+A round of recompression first names runs of equal symbols, then splits the alphabet in two by a hash
+and names each pair of a left symbol before a right one. A name is a keyed hash of what it stands for:
+so all tasks of all Spark rounds give equal strings equal names, and no dictionary has to travel. Four
+rounds shorten a text to about a third.
+
+Within a window the names of a round don't depend on what is around it but near its edges, and the
+symbols there tell how near (`shrink`): the outer runs, and the symbol beside them where it may be joined
+to them, are set aside as they are; what is left between are whole symbols of the next round. What four
+rounds set aside, and the few symbols left of the last, is the window's own sequence: equal windows
+have equal sequences wherever they stand, and a sequence spells its window.
 
 1. Chains of three consecutive second-round symbols are counted. A window whose interior holds a
    chain that occurs once isn't repeated; what is left are proposals, none of them missed.
-2. Proposed windows are named by an 80-bit hash of all their words. Each name's first occurrence is
-   found; this verifies the proposals.
+2. Each proposed window is named by its sequence (64 bits) and checked by its words' own names
+   (15 bits more). Each name's first occurrence is found.
 3. Words that repeated windows cover go, but for the windows' first occurrences.
 
-Documents are dealt to as many groups as a shuffle has parts, by a hash. Between the rounds go names
-and places in packed arrays, and texts in compressed batches. A task sends each chain and each group
-each window once, however often it has it, so a passage that a third of all documents share meets as
-one entry a task.
+Documents are dealt to groups by a hash, so many that a group has a bounded share of the text. Between
+the rounds go names and places in packed arrays, and texts in compressed batches. A task sends each
+chain and each group each window once, however often it has it, so a passage that a third of all
+documents share meets as one entry a task.
 """
 
 from __future__ import annotations
@@ -33,7 +38,9 @@ from pyspark.sql import functions as F
 from .common import Kept, alone, documents, staged, width
 
 WINDOW = 20
-CHAIN = 3
+CHAIN, ROUNDS = 3, 4
+#: Characters that a group of documents has on average at most.
+GROUP_CHARS = 16_000_000
 #: Words that are handled at once, and chains that a task gathers before it sends them.
 BLOCK_WORDS, HELD = 100_000, 1_000_000
 #: One chain in so many, by its name, is sent and tested.
@@ -70,101 +77,137 @@ class WordNames:
 
 @dataclass
 class Round:
-    """Symbols of one document after a round: names, and where each starts among the round's input (one more for the end)."""
+    """A round's input, its runs and the symbols it makes of them."""
 
+    below: np.ndarray
+    #: The run that each place of the input is in, where runs start (one more for the end), their names, and which are left symbols.
+    run_of: np.ndarray
+    edges: np.ndarray
+    runs: np.ndarray
+    left: np.ndarray
+    #: The symbol that each run is in, and the symbols' names.
+    symbol_of: np.ndarray
     names: np.ndarray
-    starts: np.ndarray
-    #: By place in the input: from here on (to here), symbols are the same wherever the input's window is.
-    safe_left: np.ndarray
-    safe_right: np.ndarray
 
 
-def recompress(names: np.ndarray, salt: int) -> Round:
-    """Name runs, then pairs.
-
-    A window that starts at place p may begin within a longer run, so the run at p is not safe. The
-    next run is safe if its symbol is a left one, since that never joins what is before it; if it is a
-    right one it may join or not, but then a symbol ends behind it. Mirrored at the window's end.
-    """
-    n = len(names)
-    if not n:
-        none = np.zeros(0, np.int64)
-        return Round(names, np.zeros(1, np.int64), np.zeros(1, np.int64), none)
-    new = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-    length = np.diff(np.append(new, n))
-    runs = names[new]
-    runs = np.where(length > 1, joined(runs, length.astype(np.uint64), salt), runs)
-    m = len(runs)
+def recompress(below: np.ndarray, salt: int) -> Round:
+    """Name runs, then pairs. below: at least one symbol."""
+    n = len(below)
+    new = np.flatnonzero(np.concatenate(([True], below[1:] != below[:-1])))
+    edges = np.append(new, n)
+    length = np.diff(edges)
+    runs = below[new]
+    long = np.flatnonzero(length > 1)
+    runs[long] = joined(runs[long], length[long].astype(np.uint64), salt)
     left = (mixed(runs + salted(salt * 7 + 1)) & np.uint64(1)).astype(bool)
-    pair = np.zeros(m, bool)
-    pair[:-1] = left[:-1] & ~left[1:]
-    second = np.zeros(m, bool)
-    second[1:] = pair[:-1]
+    second = np.zeros(len(runs), bool)
+    second[1:] = left[:-1] & ~left[1:]
     heads = np.flatnonzero(~second)
-    following = np.minimum(heads + 1, m - 1)
-    out = np.where(pair[heads], joined(runs[heads], runs[following], salt + 50), runs[heads])
-    edges = np.append(new, n)  # run i covers edges[i]:edges[i + 1]
-    run_of = np.repeat(np.arange(m), length)
-    # left edge: the run at p goes; then the next run goes too if it is a right one
-    beside = np.minimum(run_of + 1, m)
-    gone = np.append(~left, False)
-    safe_left = edges[np.minimum(beside + gone[beside], m)]
-    # right edge, for a window whose last place is p: the run at p goes; then the one before it if it is a left one
-    before = run_of - 1
-    safe_right = np.where(before < 0, 0, edges[np.maximum(run_of - np.where(before >= 0, left[before], False), 0)])
-    return Round(out, edges[np.append(heads, m)], np.append(safe_left, n), safe_right)
+    names = runs[heads]
+    paired = np.flatnonzero(second[np.minimum(heads + 1, len(runs) - 1)] & (heads + 1 < len(runs)))
+    names[paired] = joined(names[paired], runs[heads[paired] + 1], salt + 50)
+    return Round(below, np.repeat(np.arange(len(runs)), length), edges, runs, left, np.cumsum(~second) - 1, names)
+
+
+def shrink(r: Round, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The part of each stretch [a, b) of r's input that is whole symbols wherever the stretch stands: (first run, last run, low, high, from, to).
+
+    The outer runs may go on outside, so they are set aside. The next run from the left may be joined
+    to the outer one if it is a right symbol, and is set aside then; a left one never joins what is
+    before it. Mirrored at the other end. low and high tell whether such a run was set aside; it is the one
+    beside the outer run. Nothing is left where to <= from.
+    """
+    first, last = r.run_of[a], r.run_of[b - 1]
+    some = last - first >= 2
+    low = some & ~r.left[np.minimum(first + 1, len(r.left) - 1)]
+    high = some & r.left[np.maximum(last - 1, 0)]
+    lead, tail = first + 1 + low, last - 1 - high
+    some &= lead <= tail
+    start = np.where(some, r.symbol_of[np.minimum(lead, len(r.left) - 1)], 0)
+    return first, last, low, high, start, np.where(some, r.symbol_of[np.maximum(tail, 0)] + 1, 0)
+
+
+def levels(names: np.ndarray, n: int) -> list[Round]:
+    """n rounds over the words' names."""
+    below, out = names[:, 0] ^ mixed(names[:, 1]), []
+    for k in range(n):
+        out.append(recompress(below, k + 1))
+        below = out[-1].names
+    return out
+
+
+#: Odd numbers that keep the parts of a sequence apart.
+APART = np.asarray([(0x9E3779B97F4A7C15 * k | 1) % (1 << 64) for k in range(3, 13, 2)], np.uint64)
+
+
+def sequences(rounds: list[Round], at: np.ndarray) -> np.ndarray:
+    """The name of the window at each place: a hash of all that the rounds set aside, then of the symbols left."""
+    h = np.zeros(len(at), np.uint64)
+    live, a, b = np.arange(len(at)), at, at + WINDOW
+    for k, r in enumerate(rounds):
+        first, last, low, high, start, end = shrink(r, a, b)
+        # lengths of the outer runs, as far as they are inside; one run alone is both
+        sizes = (np.minimum(r.edges[first + 1], b) - a) << 8 | (b - np.maximum(r.edges[last], a))
+        own = r.below[a] * APART[0] + r.below[b - 1] * APART[1] + sizes.astype(np.uint64) * APART[2]
+        own += np.where(low, r.runs[np.minimum(first + 1, len(r.runs) - 1)], np.uint64(0)) * APART[3]
+        own += np.where(high, r.runs[np.maximum(last - 1, 0)], np.uint64(0)) * APART[4]
+        h[live] = joined(h[live], own, 200 + k)
+        left = np.flatnonzero(end > start)
+        live, a, b = live[left], start[left], end[left]
+    top = rounds[-1].names
+    while len(live):
+        h[live] = joined(h[live], top[a], 230)
+        left = np.flatnonzero(b - a > 1)
+        live, a, b = live[left], a[left] + 1, b[left]
+    return h
 
 
 @dataclass
 class Parsed:
-    """A document's chains: names, and for each window start the range of chains within its safe interior."""
+    """A document's chains: names, and for each window start the range of chains within its interior."""
 
     chains: np.ndarray
     first: np.ndarray
     last: np.ndarray
-    #: Where second-round symbols, and with them chains, start.
+    #: Where each chain starts, in words.
     at: np.ndarray
+    rounds: list[Round]
 
 
-def parse(names: np.ndarray) -> Parsed:
-    n = len(names)
-    one = recompress(names[:, 0] ^ mixed(names[:, 1]), 1)
-    two = recompress(one.names, 2)
-    at = one.starts[two.starts]  # where second-round symbols start, in words
+def parse(names: np.ndarray, windows: bool = True, rounds: int = 2) -> Parsed:
+    """Chains of the second round. Without `windows`, no ranges of chains."""
+    own = levels(names, rounds)
+    one, two = own[:2]
+    # where symbols start, in words: a symbol's first run, and that run's first word
+    heads = lambda r: r.edges[np.flatnonzero(np.concatenate(([True], np.diff(r.symbol_of) > 0)))]
+    at = heads(one)[heads(two)]
     s = two.names
-    k = len(s) - CHAIN + 1
-    chains = s[:0] if k <= 0 else s[:k]
+    k = max(0, len(s) - CHAIN + 1)
+    chains = s[:k]
     for i in range(1, CHAIN):
-        chains = joined(chains, s[i : i + max(k, 0)], 90 + i)
-    windows = np.arange(max(0, n - WINDOW + 1))
-    # words -> first-round symbols that are safe -> second-round symbols that are safe, as words
-    a = np.searchsorted(one.starts, one.safe_left[windows], "left")
-    left = one.starts[two.safe_left[np.minimum(a, len(one.names))]]
-    b = np.searchsorted(one.starts, one.safe_right[windows + WINDOW - 1], "right") - 2  # the last safe first-round symbol
-    right = np.where(b < 0, 0, one.starts[two.safe_right[np.maximum(b, 0)]] if len(two.safe_right) else 0)
-    first = np.searchsorted(at, left, "left")
-    last = np.searchsorted(at, right, "right") - 1 - CHAIN  # the last chain that ends by then
-    return Parsed(chains, first, last, at)
+        chains = joined(chains, s[i : i + k], 90 + i)
+    n = max(0, len(names) - WINDOW + 1) if windows else 0
+    a, b = np.arange(n), np.arange(n) + WINDOW
+    for r in (one, two):
+        live = np.flatnonzero(b > a)
+        *_, start, end = shrink(r, a[live], b[live])
+        a, b = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        a[live], b[live] = start, end
+    return Parsed(chains, a, b - CHAIN, at[:k], own)
 
 
-def window_hashes(names: np.ndarray) -> np.ndarray:
-    """A 128-bit hash of every window: polynomials of the words' two names, rolled by prefix sums, mixed with each other.
+def window_checks(names: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """15 bits of every window at the given places: a polynomial of its words' second names, rolled by prefix sums.
 
     sums[i] = sum of name[j] * r^j for j < i, modulo 2^64; a window's difference times r^(-start) is
     the same wherever it is.
     """
-    n = len(names)
-    if n < WINDOW:
-        return np.zeros((0, 2), np.uint64)
-    out = np.empty((n - WINDOW + 1, 2), np.uint64)
-    for c, r in enumerate((0xD6E8FEB86659FD93, 0xA0761D6478BD642F)):
-        inverse = pow(r, -1, 1 << 64)
-        power, back = np.full(n, r, np.uint64), np.full(n - WINDOW + 1, inverse, np.uint64)
-        power[0] = back[0] = 1
-        power, back = np.cumprod(power, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(names[:, c]) * power, dtype=np.uint64)))
-        out[:, c] = mixed((sums[WINDOW:] - sums[:-WINDOW]) * back)
-    return out
+    r = 0xA0761D6478BD642F
+    power, back = np.full(len(names), r, np.uint64), np.full(len(names), pow(r, -1, 1 << 64), np.uint64)
+    power[0] = back[0] = 1
+    power, back = np.cumprod(power, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(names[:, 1]) * power, dtype=np.uint64)))
+    return mixed((sums[at + WINDOW] - sums[at]) * back[at]) & np.uint64(0x7FFF)
 
 
 def tested(chains: np.ndarray) -> np.ndarray:
@@ -246,10 +289,10 @@ def chain_blocks(batches: Iterator[pa.RecordBatch], namer: WordNames, n_buckets:
         for block in blocks(batch.column(1).to_pylist()):
             if len(block.words) < WINDOW:
                 continue
-            p = parse(namer(block.words))
+            p = parse(namer(block.words), windows=False)
             chosen = p.chains % np.uint64(TESTED) == 0
             if chosen.any():
-                held.append((p.chains[chosen], groups[block.number + block.owners()[p.at[: len(p.chains)]]][chosen]))
+                held.append((p.chains[chosen], groups[block.number + block.owners()[p.at[chosen]]]))
             if sum(len(x) for x, _ in held) >= HELD:
                 yield from send()
     if held:
@@ -313,15 +356,15 @@ def windows_of(rows: pa.Table, shared: np.ndarray, namer: WordNames, n_buckets:
         if len(block.words) < WINDOW:
             continue
         names = namer(block.words)
-        p = parse(names)
+        p = parse(names, rounds=ROUNDS)
         alone = (p.chains % np.uint64(TESTED) == 0) & ~member(p.chains & LOW, shared)
         before = np.concatenate(([0], np.cumsum(alone)))
         first, last = np.clip(p.first, 0, len(alone)), np.clip(p.last + 1, 0, len(alone))
         ok = ((last <= first) | (before[np.maximum(first, last)] == before[first])) & block.inside(len(first))
         at = np.flatnonzero(ok)
-        h = window_hashes(names)[at]
         owner = block.owners()[at]
-        found.append((h[:, 0], h[:, 1] & np.uint64(0x7FFF), block.number + owner, at - block.edges[owner]))
+        if len(at):
+            found.append((sequences(p.rounds, at), window_checks(names, at), block.number + owner, at - block.edges[owner]))
     if not found:
         return pa.table({"bucket": pa.array([], pa.int32()), "g": pa.array([], pa.int32()), **{x: pa.array([], pa.binary()) for x in ("hashes", "ids", "runs", "starts")}})
     h1, h2, doc, start = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -346,7 +389,7 @@ def windows_of(rows: pa.Table, shared: np.ndarray, namer: WordNames, n_buckets:
 
 
 def repeated_windows(table: pa.Table) -> pa.Table:
-    """(g, names, later) of a bucket's windows: `names` start earlier elsewhere, of `later` the first place in the group is the first of all."""
+    """(g, names, later) of a bucket's windows that occur more than once: later holds the check, and a low bit if the group's first place is the first of all."""
     h1, h2, ids, starts, g = [], [], [], [], []
     for group, data, some, runs, places in zip(*(table[x].to_pylist() for x in ("g", "hashes", "ids", "runs", "starts")), strict=True):
         n = len(places) // 4
@@ -359,30 +402,45 @@ def repeated_windows(table: pa.Table) -> pa.Table:
     order = np.lexsort((starts, g, ids, h2 >> 1, h1))
     h1, h2, g = h1[order], h2[order], g[order]
     first = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] >> 1 != h2[:-1] >> 1)))
-    later = first & (h2 & 1).astype(bool)
-    use = ~first | later
-    return by_group(g[use], h1[use], later[use])
+    use = ~first | (h2 & 1).astype(bool)
+    return by_group(g[use], h1[use], (h2 & 0xFFFE | first)[use].astype("<u2"))
+
+
+def places(h: np.ndarray, checks: np.ndarray, names: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """Where each window is among the repeated ones, sorted by (name, check); -1 if it is not."""
+    out = np.full(len(h), -1)
+    if not len(names):
+        return out
+    at, live = np.searchsorted(names, h), np.arange(len(h))
+    while len(live):  # more than once only where names are equal and checks are not
+        same = at < len(names)
+        same[same] = names[at[same]] == h[live[same]]
+        live, at = live[same], at[same]
+        hit = later[at] >> 1 == checks[live]
+        out[live[hit]] = at[hit]
+        live, at = live[~hit], at[~hit] + 1
+    return out
 
 
-def without_repeats(rows: pa.Table, repeated: np.ndarray, later: np.ndarray, namer: WordNames) -> tuple[list[int], list[int], list[str | None]]:
-    """For each row: its words, how many of them go, and the rest joined by spaces (None if none goes)."""
+def without_repeats(rows: pa.Table, names: np.ndarray, later: np.ndarray, namer: WordNames) -> tuple[list[int], list[int], list[str | None]]:
+    """For each row: its words, how many of them go, and the rest joined by spaces. names and later: see `repeated_windows`, sorted."""
     n_words, n_removed, kept = [], [], []
     seen = np.zeros(len(later), bool)
+    earliest = (later & 1).astype(bool)
     for block in blocks(rows["_text"].to_pylist()):
         n = len(block.words)
         cover = np.zeros(n + 1, np.int64)
-        if n >= WINDOW:
-            h = window_hashes(namer(block.words))[:, 0]
-            ok = block.inside(len(h))
-            again = member(h, repeated)
-            if len(later):
-                at = np.minimum(np.searchsorted(later, h), len(later) - 1)
-                hit = np.flatnonzero((later[at] == h) & ok)
-                which, firsts = np.unique(at[hit], return_index=True)
-                again[hit] = True
-                again[hit[firsts[~seen[which]]]] = False
-                seen[which] = True
-            starts = np.flatnonzero(again & ok)
+        if n >= WINDOW and len(names):
+            own = namer(block.words)
+            at = np.flatnonzero(block.inside(n - WINDOW + 1))
+            found = places(sequences(levels(own, ROUNDS), at), window_checks(own, at), names, later)
+            at, found = at[found >= 0], found[found >= 0]
+            again = np.ones(len(at), bool)
+            hit = np.flatnonzero(earliest[found])
+            which, firsts = np.unique(found[hit], return_index=True)
+            again[hit[firsts[~seen[which]]]] = False
+            seen[which] = True
+            starts = at[again]
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + WINDOW, -1)
         stays = np.cumsum(cover)[:n] == 0
@@ -408,8 +466,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stand in an order that depends on their texts alone, and of equal rows the first stays. Null and
     empty texts have no words. An empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    groups = width(spark)
+    size = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+    groups = max(width(docs.sparkSession), -(-size // GROUP_CHARS))
     n_buckets = groups
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,9 +483,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rows = unpacked(left)
         if rows is None:
             return out.empty_table()
-        flags = np.concatenate([np.frombuffer(x, bool) for x in right["later"].to_pylist()] or [np.zeros(0, bool)])
-        unsorted = np.concatenate([np.frombuffer(x, "<u8") for x in right["names"].to_pylist()] or [np.zeros(0, np.uint64)])
-        n_words, n_removed, kept = without_repeats(rows, np.unique(unsorted[~flags]), np.unique(unsorted[flags]), word_names())
+        later = np.concatenate([np.frombuffer(x, "<u2") for x in right["later"].to_pylist()] or [np.zeros(0, "<u2")])
+        names = np.concatenate([np.frombuffer(x, "<u8") for x in right["names"].to_pylist()] or [np.zeros(0, np.uint64)])
+        order = np.lexsort((later, names))
+        n_words, n_removed, kept = without_repeats(rows, names[order], later[order], word_names())
         columns = [rows["_id"].combine_chunks(), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in kept], pa.string())]
         if keep:
             # a text of which nothing goes stays as it is, white space included
@@ -471,4 +530,5 @@ def without_repeated_passages(docs: DataFrame) -> DataFrame:
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents without its repeated words; see `remove_repeats`."""
     return remove_repeats(documents(spark, sf_dir))

@@ -76,8 +76,57 @@ def test_no_repeated_window_is_ruled_out():
             assert set(chains[1][0].tolist()) <= chains[0][1]
 
 
-def test_window_hashes_do_not_depend_on_place():
+@pytest.mark.parametrize("size", [2, 3, 8, 1000])
+def test_sequences_name_windows(size):
+    """Windows have equal sequences if and only if they have equal words, whatever is around them."""
+    rng = np.random.default_rng(size)
+    table = substrings.mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(77))
+    words = rng.integers(0, size, 6000)
+    for _ in range(60):  # copies in other surroundings
+        n = rng.integers(15, 90)
+        a, b = rng.integers(0, 5900, 2)
+        words[b : b + n] = words[a : a + n][: len(words) - b]
+    x = table[words]
+    at = np.arange(len(words) - substrings.WINDOW + 1)
+    got = substrings.sequences(substrings.levels(np.stack((x, x * np.uint64(3)), axis=1), substrings.ROUNDS), at)
+    known = {}
+    for i, h in enumerate(got.tolist()):
+        known.setdefault(tuple(words[i : i + 20].tolist()), set()).add(h)
+    assert all(len(h) == 1 for h in known.values())
+    assert len(set(got.tolist())) == len(known) < len(at)
+
+
+def test_nothing_is_found_without_the_rounds(monkeypatch):
+    """If rounds named symbols by their places too, no window would equal its copy."""
+    names = substrings.WordNames()([b"w%d" % i for i in range(40)])
+    at = np.arange(21)
+    monkeypatch.setattr(substrings, "recompress", lambda below, salt, real=substrings.recompress: real(below + np.arange(len(below), dtype=np.uint64), salt))
+    twice = np.concatenate((names, names))
+    got = substrings.sequences(substrings.levels(twice, substrings.ROUNDS), np.concatenate((at, at + 40)))
+    assert not set(got[:21].tolist()) & set(got[21:].tolist())
+
+
+def test_checks_do_not_depend_on_place():
     words = [b"a", b"b", b"c", b"d", b"e"] * 30
-    namer = substrings.WordNames()
-    h = substrings.window_hashes(namer(words))
-    assert (h[0] == h[5]).all() and (h[5] == h[100]).all() and (h[0] != h[1]).any()
+    names = substrings.WordNames()(words)
+    checks = substrings.window_checks(names, np.arange(100))
+    assert len(set(checks.tolist())) == 5 and (checks[:5] == checks[95:]).all()
+
+
+def test_equal_names_are_told_apart_by_their_checks():
+    names, later = np.asarray([5, 5, 9], np.uint64), np.asarray([2 << 1, 7 << 1 | 1, 3 << 1], np.uint16)
+    h, checks = np.asarray([5, 5, 5, 9, 1, 10], np.uint64), np.asarray([7, 2, 4, 3, 0, 0], np.uint64)
+    assert substrings.places(h, checks, names, later).tolist() == [1, 0, -1, 2, -1, -1]
+
+
+def test_a_long_text_many_groups_and_few_groups(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = [f"p{rng.randrange(500)}" for _ in range(60)]
+    rows = [(i, " ".join([f"w{rng.randrange(10**6)}" for _ in range(40)] + passage * (i % 3 == 0))) for i in range(60)]
+    rows.append((100, " ".join(f"w{rng.randrange(3000)}" for _ in range(200_000)) + " " + " ".join(passage)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    for chars in (10_000_000, 20_000):
+        monkeypatch.setattr(substrings, "GROUP_CHARS", chars)
+        got = substrings.remove_repeats(frame).collect()
+        assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == want
