@@ -17,6 +17,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,7 @@ class PieceCoder:
         lines = not any("\n" in x for x in names)
         self.segments = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if lines else f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         #: Bytes that each piece covers; 0 for the unknown one, whose text varies.
+        self.special = np.asarray([p.type != 1 for p in model.pieces])
         self.sizes = np.asarray([1 if p.type == 6 else 0 if p.type == 2 else len(p.piece.encode()) for p in model.pieces], "<u4")
         rules.add_dummy_prefix, rules.remove_extra_whitespaces, rules.precompiled_charsmap = False, False, b""
         self.bare = SentencePieceProcessor(model_proto=model.SerializeToString())
@@ -154,13 +156,23 @@ class PieceCoder:
         return Normal(out.decode(), np.asarray([*source, end]))
 
     def learn(self, segments: set[str]) -> None:
-        """Encode those segments that aren't known yet, all in one call."""
+        """Encode those segments that aren't known yet, all in one call. Only segments with other than plain pieces can decode to something else."""
         new = [x for x in segments if x not in self.known and not self._again(x)]
+        if not new:
+            return
         coded = self.bare.encode(new, num_threads=1)
-        for segment, ids, plain in zip(new, coded, self.bare.decode(coded, num_threads=1) if coded else (), strict=True):
-            self.known.keep(segment, self.cut(segment, ids))
-            if plain != segment.replace(SPACE, " "):
-                self.odd[segment] = plain
+        ends = np.cumsum(list(map(len, coded)))
+        ids = np.fromiter(chain.from_iterable(coded), np.int64, ends[-1])
+        sizes, names = self.sizes[ids].tobytes(), list(map(str, ids.tolist()))
+        at = 0
+        for segment, end in zip(new, ends.tolist(), strict=True):
+            self.known.keep(segment, (",".join(names[at:end]), sizes[4 * at : 4 * end]))
+            at = end
+        special = np.unique(np.searchsorted(ends, np.flatnonzero(self.special[ids]), "right")).tolist()
+        for i, plain in zip(special, self.bare.decode([coded[i] for i in special], num_threads=1) if special else (), strict=True):
+            self.known.keep(new[i], self.cut(new[i], coded[i]))
+            if plain != new[i].replace(SPACE, " "):
+                self.odd[new[i]] = plain
 
     def _again(self, segment: str) -> bool:
         value = self.known.older.get(segment)
