@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -77,6 +77,28 @@ def alone(name: str, make: Callable):
     return _ALONE[name]
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with value computed once: a lambda's variable is not expanded where it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def quoted(name: str) -> str:
+    """A column name as an expression, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of the frame has, in whatever case."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text) of docs, whatever else it holds; a null text becomes an empty one."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

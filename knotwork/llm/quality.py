@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, documents, staged
+from .common import WORD_PATTERN, documents, let, staged
 
 #: The share of a stratum's good documents that all signals together may reject, and the chance that it is exceeded.
 RISK, ERROR = 0.02, 0.05
@@ -23,11 +23,6 @@ LADDER = 40
 SIGNALS = {"symbols_a_word": (0.01, 2.0), "other_share": (0.05, 1.0), "upper_share": (0.05, 1.0), "repeat_share": (0.02, 1.0), "dup_line_share": (0.02, 1.0), "word_length": (5.0, 60.0)}
 
 
-def let(value: Column, use) -> Column:
-    """use(value), with value computed once: a lambda's variable is not expanded where it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def repeated_words(words: Column) -> Column:
     """Words in three-word windows that occur twice or more, first ones included.
 

@@ -5,17 +5,19 @@ Every version of every document is named by the SHA-256 of its text. The ledger
 once, and findings are joined back to every path that holds the blob.
 
 Spark has no function for the places of matches. They follow from the matches and the text between
-them: splitting by a pattern and extracting its matches give two arrays whose lengths add up.
+them: splitting by a pattern and extracting its matches give two arrays whose lengths add up. The
+lengths of texts with matches are exploded and summed up by a window, so time and memory grow in
+proportion to the matches.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, new_path, texts_of, width
+from .common import documents, fresh, let, new_path, quoted, texts_of, width
 
 
 @dataclass(frozen=True)
@@ -60,29 +62,28 @@ HINTS = {"assign": r"(?i)passw|secret|token|api_?key", "access": "AKIA", "hex":
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
 
-def spans(text: Column, rule: Rule, rank: int) -> Column:
-    """The rule's matches in the text, leftmost first and not overlapping, as code points; short ones are left out."""
+def steps(text: Column, rule: Rule) -> Column:
+    """For each match of the rule in the text, leftmost first and not overlapping: (characters before it, its own, those that count); then (characters after the last, null, null)."""
     pattern = rule.steady or rule.pattern
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     sized = F.transform(found, F.length) if rule.group == 0 else F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)), F.length)
-    steps = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), F.transform(found, F.length).alias("size"), sized.alias("kept"))
-    empty = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), (start + x["size"]).alias("end"))
-        none = F.expr(f"cast(array() as array<{SPAN}>)")
-        return F.struct((start + F.coalesce(x["size"], F.lit(0))).alias("at"), F.concat(state["out"], F.when(x["kept"] >= rule.least, F.array(span)).otherwise(none)).alias("out"))
-
-    return F.aggregate(steps, empty, step, lambda s: s["out"])
+    return F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), F.transform(found, F.length).alias("size"), sized.alias("kept"))
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(blob, rule, spans) of every blob with a finding. blobs: (blob, text, unseen), unseen the rule names yet to be tried."""
-    none = F.expr(f"cast(array() as array<{SPAN}>)")
-    tried = [F.when(F.array_contains("unseen", r.name) & F.col("text").rlike(HINTS.get(r.kind, r.pattern)), spans(F.col("text"), r, i)).otherwise(none) for i, r in enumerate(rules)]
-    found = blobs.select("blob", F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), t.alias("spans")) for r, t in zip(rules, tried, strict=True)])).alias("x"))
-    return found.select("blob", "x.rule", "x.spans").where(F.size("spans") > 0)
+    """(blob, rule, spans) of every blob with a finding. blobs: (blob, text, unseen), unseen the rule names yet to be tried.
+
+    Spans are places in code points, in order; matches that are too short are left out.
+    """
+    tried = [F.struct(F.lit(i).alias("rank"), F.when(F.array_contains("unseen", r.name) & F.col("text").rlike(HINTS.get(r.kind, r.pattern)), steps(F.col("text"), r)).alias("steps")) for i, r in enumerate(rules)]
+    found = blobs.select("blob", F.explode(F.array(*tried)).alias("x")).where(F.size("x.steps") > 1)
+    flat = found.select("blob", "x.rank", F.posexplode("x.steps").alias("at", "step")).select("blob", "rank", "at", "step.*")
+    so_far = Window.partitionBy("blob", "rank").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = flat.withColumn("end", F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(so_far).cast("int"))
+    by_rank = lambda values: F.array(*map(F.lit, values))[F.col("rank")]
+    span = F.struct((F.col("end") - F.col("size")).alias("start"), "rank", by_rank([r.kind for r in rules]).alias("kind"), "end")
+    whole = placed.where(F.col("kept") >= by_rank([r.least for r in rules])).groupBy("blob", "rank").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    return whole.select("blob", by_rank([r.name for r in rules]).alias("rule"), F.col("spans").cast(f"array<{SPAN}>").alias("spans"))
 
 
 class Ledger:
@@ -155,27 +156,59 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
-    """docs with every span of their text replaced by the mark, overlapping spans by one; nothing else changes.
+def cuts(found: DataFrame) -> DataFrame:
+    """(blob, at, to, marked) from findings: the stretches of each blob outside all spans, in code points, each but the last with a mark behind it.
 
-    Works on the text itself, so equal texts are changed alike and rows need no id.
+    The last one's end is null. Spans that overlap count as one, spans that touch as two.
     """
-    ledger = ledger or Ledger(docs.sparkSession)
-    columns = docs.columns
-    blob = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    found = ledger.update(docs.select(blob.alias("blob"), F.coalesce("text", F.lit("")).alias("text")), rules)
-    whole = found.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("_found"))
-    state = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+    flat = found.select("blob", F.explode("spans").alias("s")).select("blob", "s.*")
+    order = Window.partitionBy("blob").orderBy("start", "rank", "end")
+    before = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    opened = flat.withColumn("at", before).where(F.col("start") >= F.col("at")).select("blob", "at", F.col("start").alias("to"), F.lit(True).alias("marked"))
+    last = flat.groupBy("blob").agg(F.max("end").alias("at")).select("blob", "at", F.lit(None).cast("int").alias("to"), F.lit(False).alias("marked"))
+    return opened.unionByName(last)
+
+
+#: Code points of a chunk that stretches are taken from: a place in a string is found by walking from its start.
+CHUNK = 16_384
 
-    def step(s: Column, x: Column) -> Column:
-        piece = F.when(x["start"] >= s["at"], F.array(F.substring(F.col("text"), s["at"] + 1, x["start"] - s["at"]), F.lit(mark))).otherwise(F.expr("cast(array() as array<string>)"))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], piece).alias("out"))
 
-    done = F.aggregate("_found", state, step, lambda s: F.array_join(F.concat(s["out"], F.array(F.substring(F.col("text"), s["at"] + 1, F.length("text")))), ""))
-    marked = docs.withColumn("_blob", blob).join(whole.withColumnRenamed("blob", "_blob"), "_blob", "left")
-    return marked.withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(done)).select(*columns)
+def rejoined(text: Column, stretches: Column, mark: str) -> Column:
+    """The stretches (at, to, marked) of the text, one after the other, with marks between them."""
+    chunk_of = lambda c: F.floor(c / CHUNK).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), chunk_of(F.greatest(F.length(text), F.lit(1)) - 1)), lambda i: F.substring(text, i * CHUNK + 1, F.lit(CHUNK)))
 
+    def stretch(s: Column, parts: Column) -> Column:
+        to = F.coalesce(s["to"], F.size(parts) * CHUNK)
 
-def op2_secret_scans(spark, sf_dir: str) -> DataFrame:
-    return report(found_in(documents(spark, sf_dir), Ledger(spark)))
+        def piece(k: Column) -> Column:
+            low = F.greatest(s["at"] - k * CHUNK, F.lit(0))
+            return F.substring(F.get(parts, k), low + 1, F.least(to - k * CHUNK, F.lit(CHUNK)) - low)
+
+        own = F.when(to > s["at"], F.array_join(F.transform(F.sequence(chunk_of(s["at"]), chunk_of(F.greatest(to - 1, s["at"]))), piece), "")).otherwise("")
+        return F.concat(own, F.when(s["marked"], F.lit(mark)).otherwise(""))
+
+    return let(chunks, lambda parts: F.array_join(F.transform(stretches, lambda s: stretch(s, parts)), ""))
+
+
+def redact(docs: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
+    """docs with every span of their text replaced by the mark, overlapping spans by one; nothing else changes.
+
+    Works on the text itself, so equal texts are changed alike and rows need no id. Null and empty
+    texts stay as they are, and so do repeated rows; an empty table gives an empty one.
+    """
+    ledger = ledger or Ledger(docs.sparkSession)
+    name, left = fresh(docs, "blob", "left")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    blob = F.unhex(F.sha2(text, 256))
+    found = ledger.update(docs.select(blob.alias("blob"), text.alias("text")), rules)
+    stretches = cuts(found).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("at", "to", "marked"))).alias("left")).toDF(name, left)
+    marked = docs.withColumn(name, blob).join(stretches, name, "left")
+    clean = F.when(F.col(left).isNull(), F.col("text")).otherwise(rejoined(F.col("text"), F.col(left), mark))
+    return marked.select(*[(clean if c == "text" else F.col(quoted(c))).alias(c) for c in docs.columns])
+
+
+def op2_secret_scans(spark, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """Findings of every row of documents. ledger: the folder of a ledger to go on with; else a new one is begun."""
+    return report(found_in(documents(spark, sf_dir), Ledger(spark, ledger)))
 

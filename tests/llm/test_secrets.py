@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from knotwork.llm import secrets
 
@@ -70,3 +72,51 @@ def test_whole_keys_and_long_logins_are_redacted(spark):
     }
     docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
     assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {i: want for i, (_, want) in texts.items()}
+
+
+def test_very_many_matches_in_one_text(spark):
+    text = " ".join(f"{i:032x}" for i in range(100_000)) + " é"
+    docs = spark.createDataFrame([(1, text), (2, "plain")], "doc_id long, text string")
+    begun = time.time()
+    got = {r.doc_id: r for r in secrets.report(secrets.found_in(docs, secrets.Ledger(spark))).collect()}
+    assert time.time() - begun < 30 and (got[1].n_hex, got[2].n_hex) == (100_000, 0)
+    assert got[1].spans.endswith(f",hex:{99_999 * 33}:{99_999 * 33 + 32}")
+    begun = time.time()
+    out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert time.time() - begun < 60
+    assert out[1] == " ".join(["[secret]"] * 100_000) + " é" and out[2] == "plain"
+
+
+def test_redaction_against_places(spark):
+    """Over chunk borders, with spans that overlap and that touch, in text of several bytes a character."""
+    rng = random.Random(4)
+    parts = ["é🙂", "a b ", "token=abcdef123456", "f" * 30, "AKIA" + "Q" * 20, "\n", "x" * 500, "password: 'eyJabc.eyJabcdefgh.abcdefghijklmn'"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 400))) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.found for r in secrets.found_in(docs, secrets.Ledger(spark)).collect()}
+    out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for i, text in enumerate(texts):
+        want, at = [], 0
+        for s in found[i] or []:
+            if s.start >= at:
+                want += [text[at : s.start], "[secret]"]
+            at = max(at, s.end)
+        assert out[i] == "".join(want) + text[at:]
+
+
+def test_clashing_columns_stay(spark):
+    names = ["_blob", "_found", "blob", "left", "a.b", "c`d", "_one"]
+    docs = spark.createDataFrame([(1, "token=abcdef123456 x", *range(7)), (2, None, *range(7))], "doc_id long, text string, " + ", ".join(f"`{x.replace(chr(96), chr(96) * 2)}` int" for x in names))
+    out = sorted(secrets.redact(docs).collect())
+    assert secrets.redact(docs).columns == docs.columns and tuple(out[0]) == (1, "[secret] x", *range(7)) and tuple(out[1]) == (2, None, *range(7))
+
+
+def test_a_ledger_is_gone_on_with(spark, tmp_path):
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    spark.createDataFrame([(1, "token=abcdef123456"), (None, "b")], "doc_id long, text string").write.parquet(str(folder / "documents.parquet"))
+    place = str(tmp_path / "ledger")
+    first = sorted(map(str, secrets.op2_secret_scans(spark, str(folder), place).collect()))
+    n = secrets.Ledger(spark, place).scanned.count()
+    assert sorted(map(str, secrets.op2_secret_scans(spark, str(folder), place).collect())) == first and n == 2
+    assert secrets.Ledger(spark, place).scanned.count() == 2
