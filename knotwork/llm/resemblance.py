@@ -1,9 +1,11 @@
-"""Groups of texts that share most runs of five words: exact Jaccard similarity, candidates by MinHash.
+"""Groups of texts that share most runs of five words: SimHash links through Golay keys first, then MinHash keys for what they miss.
 
-A text's shingles are all runs of `words` words; texts with the same set are one node. Each node has
-BANDS keys, each of ROWS minima of its shingles under hash functions. A pair at similarity s shares no
-key with chance (1 - s^4)^32: 5e-8 at 0.8, less above. Keys only propose pairs: a pair is linked if
-the similarity of its whole shingle sets is high enough.
+A text's shingles are all runs of `words` words; texts with the same set are one node. SimHash
+fingerprints of the sets are linked as `simhash` links them, at 2 differing bits or fewer. That ties most
+close copies, but two sets at similarity 0.8 differ in 9 or 10 of 64 bits on average, out of reach of any
+Golay key. So each node also has BANDS keys, each of ROWS minima of its shingles under hash functions: a
+pair at similarity s shares no key with chance (1 - s^4)^32, 5e-8 at 0.8, less above. Both kinds of keys
+only propose pairs: a pair is linked if the Jaccard similarity of its whole shingle sets is high enough.
 
 All pairs of a key are compared unless links already tie them together. That is done in rounds: some
 members of each key, those outside its larger components first, are compared with all others and then leave.
@@ -18,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import alone, shared_dir, staged
+from .common import alone, fresh, quoted, shared_dir, staged
 from .components import components
-from .simhash import shingle_hashes
+from .simhash import fingerprint, links, shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
@@ -58,20 +60,20 @@ def _signed(numbers: list[int]) -> pa.Array:
 
 
 def signatures(rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, row, node, size, keys) from (doc_id, row, text): equal nodes have equal shingle sets."""
+    """(doc_id, row, node, size, fp, keys) from (doc_id, row, text): equal nodes have equal shingle sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
             sets = (shingle_set(t, words) for t in batch.column(2).to_pylist())
-            found = [(xxhash.xxh64_intdigest(s.astype("<u8").tobytes()), len(s), band_keys(s)) for s in sets]
-            nodes, sizes, keys = zip(*found, strict=True) if found else ((), (), ())
+            found = [(xxhash.xxh64_intdigest(s.astype("<u8").tobytes()), len(s), fingerprint(s), band_keys(s)) for s in sets]
+            nodes, sizes, prints, keys = zip(*found, strict=True) if found else ((), (), (), ())
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = pa.ListArray.from_arrays(pa.array(ends), _signed([k for x in keys for k in x]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _signed(nodes), pa.array(sizes, pa.int64()), flat], ["doc_id", "row", "node", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _signed(nodes), pa.array(sizes, pa.int64()), _signed(prints), flat], ["doc_id", "row", "node", "size", "fp", "keys"])
 
-    return rows.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, node long, size long, keys array<long>")
+    return rows.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, node long, size long, fp long, keys array<long>")
 
 
 def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -101,20 +103,29 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -
     return whole.mapInArrow(run, "a long, b long")
 
 
-def groups(members: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component) of all nodes of members (key, node, size) with a similar one: component is the least node reachable."""
-    spark = members.sparkSession
-    edges = spark.createDataFrame([], "a long, b long")
-    tied, pivots, now = None, PIVOTS[0], members
+def proposed(prints: DataFrame) -> DataFrame:
+    """(a, b) of nodes whose SimHash fingerprints are equal or linked. prints: (node, fp). The least node of a fingerprint stands for the others."""
+    least = staged(prints.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
+    equal = prints.join(least, "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    tied = links(least).join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b")
+    return equal.unionByName(tied.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).distinct()
+
+
+def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component) of all nodes of members (key, node, size) with a similar one: component is the least node reachable.
+
+    pairs: (a, b) that are compared before those of the members' keys; they spare later comparisons, and change nothing else.
+    """
+    edges = staged(similar(pairs, sets, similarity), "similar")
+    tied, pivots, now = staged(components(edges), "tied"), PIVOTS[0], members
     while True:
-        own = F.coalesce("component", "node") if tied is not None else F.col("node")
-        now = (now.join(tied, "node", "left") if tied is not None else now).select("key", "node", "size", own.alias("component"))
+        now = now.join(tied, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
         of_key = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
         mates = now.groupBy("key", "component").agg(F.count("*").alias("mates"))
         opened = now.join(of_key, "key", "left_semi").join(mates, ["key", "component"])
         opened = staged(opened, "open")
         if opened.isEmpty():
-            return tied if tied is not None else spark.createDataFrame([], "node long, component long")
+            return tied
         order = Window.partitionBy("key").orderBy("mates", "node")
         first = staged(opened.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).select("key", "node", "size", "component", "place"), "pivots")
         others = opened.join(first.select("key", "node", "place"), ["key", "node"], "left")
@@ -128,25 +139,26 @@ def groups(members: DataFrame, sets: DataFrame, similarity: float = SIMILARITY)
         pivots = PIVOTS[1] if pivots < PIVOTS[1] else 4 * pivots
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(nodes, rows): (node, least, component) of every shingle set, and docs with the column _row, that names a row by its id and text.
+def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, str]:
+    """(nodes, rows, name): (node, least, component) of every shingle set; docs with a column of that name, that names a row by its id and text.
 
     least is the set's first row: (has no id, doc_id, row). Texts without a word are one node. Null texts count as empty.
     """
     shared_dir(docs.sparkSession)  # sets the checkpoint folder where there is none
+    (name,) = fresh(docs, "row")
     ids, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_row", F.xxhash64(F.coalesce(ids, F.lit(0).cast("long")), ids.isNull(), text))
-    marked = staged(signatures(rows.select(ids.alias("doc_id"), F.col("_row").alias("row"), text.alias("text")), words), "signatures")
+    rows = docs.withColumn(name, F.xxhash64(F.coalesce(ids, F.lit(0).cast("long")), ids.isNull(), text))
+    marked = staged(signatures(rows.select(ids.alias("doc_id"), F.col(name).alias("row"), text.alias("text")), words), "signatures")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("least")
-    nodes = staged(marked.groupBy("node").agg(least, F.any_value("size").alias("size"), F.any_value("keys").alias("keys")), "nodes")
+    nodes = staged(marked.groupBy("node").agg(least, *[F.any_value(x).alias(x) for x in ("size", "fp", "keys")]), "nodes")
     keyed = staged(nodes.select("node", "size", F.explode("keys").alias("key")), "keyed")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = staged(keyed.join(shared, "key", "left_semi").select("key", "node", "size"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("least.row").alias("_row"))
-    texts = rows.select("_row", text.alias("text")).join(wanted, "_row").dropDuplicates(["_row"])
-    tied = groups(members, staged(shingle_sets(texts, words), "sets"), similarity)
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "fp", F.col("least.row").alias("row"))
+    texts = rows.select(F.col(name).alias("row"), text.alias("text")).join(wanted, "row").dropDuplicates(["row"])
+    tied = groups(members, staged(shingle_sets(texts, words), "sets"), proposed(wanted.select("node", "fp")), similarity)
     found = nodes.select("node", "least").join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return found, rows
+    return found, rows, name
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -154,10 +166,12 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
 
     Texts are near copies if the Jaccard similarity of their runs of `words` words is `similarity` at
     least; groups are over chains of them. Rows are told apart by id and text, so rows of one id with
-    different texts are different documents.
+    different texts are different documents. Null texts count as empty, and texts without a word are
+    one group; an empty table gives an empty one.
     """
-    columns = docs.columns
-    nodes, rows = near_copies(docs, words, similarity)
-    kept = nodes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("_row"))
-    one = Window.partitionBy("_row").orderBy("_row")
-    return rows.join(kept, "_row", "left_semi").withColumn("_one", F.row_number().over(one)).where("_one = 1").select(*columns)
+    nodes, rows, name = near_copies(docs, words, similarity)
+    (place,) = fresh(rows, "place")
+    kept = nodes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias(name))
+    one = Window.partitionBy(name).orderBy(name)
+    first = rows.join(kept, name, "left_semi").withColumn(place, F.row_number().over(one)).where(F.col(place) == 1)
+    return first.select(*[F.col(quoted(c)) for c in docs.columns])

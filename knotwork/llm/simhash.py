@@ -4,7 +4,12 @@ Fingerprints of 64 bits are cut into segments of 23, 23 and 18 bits. If two of t
 or fewer, one segment at least is equal in both, and each other one differs in 2 bits or fewer. The
 perfect Golay code gives every 23-bit word one codeword within 3 bits; the codewords of a word and of
 all words one bit away (1 or 6 of them) meet those of every word within 2 bits. So a key is an equal
-segment together with a codeword of the next segment. Keys only propose links: every one is verified.
+segment together with a codeword of the next segment.
+
+Within a shared key no pairs are made. A fingerprint stands there with itself and the words one bit
+away that lead to the key: those whose segment decodes to the key's codeword. Two fingerprints within
+2 bits have such a word in common, in one of their shared keys; at most 65 fingerprints have the same
+one, and all of those are within 2 bits of each other. So a key may hold any number of them.
 """
 
 from __future__ import annotations
@@ -18,12 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import alone, documents, shared_dir, staged, texts_of
+from .common import alone, documents, fresh, shared_dir, staged, texts_of
 from .components import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
-#: Keys with more fingerprints than this are linked through the words between them, not pair by pair.
-PAIRWISE = 16
 SEED, SHINGLE = 42, 3
 
 
@@ -104,7 +107,7 @@ def keys(prints: DataFrame) -> DataFrame:
                 cut = [((fp >> np.uint64(shift)) & np.uint64((1 << n) - 1)).astype(np.int64) for shift, n in SEGMENTS]
                 owners, found = [], []
                 for i in range(3):
-                    near = np.sort(codewords(cut[(i + 1) % 3]), axis=1)
+                    near = np.sort(codewords(cut[(i + 1) % 3])[:, : SEGMENTS[(i + 1) % 3][1] + 1], axis=1)
                     first = np.ones(near.shape, bool)
                     first[:, 1:] = near[:, 1:] != near[:, :-1]
                     row, _ = np.nonzero(first)
@@ -115,25 +118,43 @@ def keys(prints: DataFrame) -> DataFrame:
     return prints.select("fp").mapInArrow(run, "fp long, key long")
 
 
-def links(prints: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
+def between(keyed: DataFrame) -> DataFrame:
+    """(choice, word, fp) from (fp, key): the fingerprint itself and the words one bit away that lead to the key, for each key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                fp = batch.column(0).slice(at, 4096).to_numpy(zero_copy_only=False).view(np.uint64)
+                key = batch.column(1).slice(at, 4096).to_numpy(zero_copy_only=False)
+                out = []
+                for i in range(3):
+                    own, code = fp[key >> 40 == i], key[key >> 40 == i] & 0xFFF
+                    (shift, size), (other, more) = SEGMENTS[(i + 1) % 3], SEGMENTS[(i + 2) % 3]
+                    flips = np.concatenate(([0], np.uint64(1) << np.arange(shift, shift + size, dtype=np.uint64))).astype(np.uint64)
+                    near = codewords(((own >> np.uint64(shift)) & np.uint64((1 << size) - 1)).astype(np.int64))[:, : size + 1]
+                    row, flip = np.nonzero(near == code[:, None])
+                    out.append((i, own[row] ^ flips[flip], own[row]))
+                    # the codeword of its own word stays the same whatever happens in the last segment
+                    same = np.repeat(own[near[:, 0] == code], more)
+                    beside = np.tile(np.uint64(1) << np.arange(other, other + more, dtype=np.uint64), len(same) // more)
+                    out.append((i, same ^ beside, same))
+                choice = np.concatenate([np.full(len(w), i, np.int32) for i, w, _ in out])
+                word, owner = (np.concatenate([x[k] for x in out]).view(np.int64) for k in (1, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(choice), pa.array(word), pa.array(owner)], ["choice", "word", "fp"])
+
+    return keyed.select("fp", "key").mapInArrow(run, "choice int, word long, fp long")
+
+
+def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between different fingerprints that tie together exactly those linked by 2 differing bits or fewer.
 
-    Keys with few fingerprints are joined and verified pair by pair. Fingerprints of a fuller key are
-    tied to each word one bit away from them, itself included: two within 2 bits share such a word, and
-    two that share one are within 2 bits, so the least fingerprint of each word stands for the others.
+    Of the fingerprints that have a word in common the least stands for the others.
     """
     keyed = staged(keys(prints), "keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    few = keyed.join(sizes.where(F.col("n") <= pairwise), "key").select("key", "fp")
-    other = few.withColumnRenamed("fp", "gp")
-    close = few.join(other, "key").where((F.col("fp") < F.col("gp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("gp"))) <= 2))
-    pairs = close.select(F.col("gp").alias("a"), F.col("fp").alias("b")).distinct()
-    full = keyed.join(sizes.where(F.col("n") > pairwise), "key").select("fp").distinct()
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)) for i in range(64)])
-    between = full.select("fp", F.explode(F.transform(flips, lambda m: F.col("fp").bitwiseXOR(m))).alias("word"))
-    least = between.groupBy("word").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").select("word", "b")
-    stars = between.join(least, "word").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
-    return pairs.unionByName(stars).distinct()
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    met = between(keyed.join(shared, "key", "left_semi")).groupBy("choice", "word").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    edges = met.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b"))
+    return edges.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,14 +178,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that share that id, one stays, chosen by a hash of its text. Rows without an id can't be
     named as their group's and stay as they are.
     """
-    columns = docs.columns
-    kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = rows.withColumn("_one", F.row_number().over(order)).where("_one = 1").select(*columns)
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    least, place = fresh(docs, "least", "place")
+    kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(least)).distinct()
+    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col(least), "left_semi")
+    one = rows.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where(F.col(place) == 1)
+    return one.unionByName(docs.where(F.col("doc_id").isNull()).withColumn(place, F.lit(1))).drop(place)
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents with its fingerprint and its component; see `near_duplicates`."""
     found = near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
