@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import gc
@@ -18,29 +19,79 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, one in the warehouse, or in local mode a temporary one."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if folder is None:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = known.get() if known.isDefined() else None
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="knotwork-")
+        local = spark.sparkContext.master.startswith("local")
+        folder = tempfile.mkdtemp(prefix="knotwork-") if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/knotwork-work"
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/knotwork/{name}-{uuid.uuid4().hex}"
+    """A folder for a working table. It goes when the session's Python process ends, if the session is still there."""
+    path = f"{shared_dir(spark)}/knotwork/{name}-{uuid.uuid4().hex}"
+    _WORK.setdefault(spark.sparkContext, set()).add(path)
+    return path
 
 
-def staged(frame: DataFrame, name: str) -> DataFrame:
+_WORK: dict = {}
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete working tables, or files that a frame was read from."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        _WORK.get(spark.sparkContext, set()).discard(path)
+
+
+@atexit.register
+def _discard_all() -> None:
+    for context, paths in _WORK.items():
+        with contextlib.suppress(Exception):  # the session may be gone
+            if context._jsc is not None and SparkSession.getActiveSession() is not None:
+                discard(SparkSession.getActiveSession(), *list(paths))
+
+
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession):
+    """What is run within leaves no shuffle files behind: each job's go as soon as it has ended."""
+    before = spark.conf.get(FREED, "false")
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREED, before)
+
+
+def staged(frame: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write the frame to the shared folder and read it back: it is computed once, and its lineage ends there."""
     spark = frame.sparkSession
-    path = new_path(spark, name)
-    frame.write.parquet(path)
+    path = path or new_path(spark, name)
+    with shuffles_freed(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def characters(docs: DataFrame, text_col: str = "text") -> int:
+    return docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+
+
+def labels(spark: SparkSession, n: int) -> list[int]:
+    """n numbers that Spark's hash deals to n parts one by one: the k-th goes to part k of n, and to part k modulo m of m if m divides n."""
+    rows = spark.range(24 * n).select(F.col("id").cast("int").alias("id"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("part")).groupBy("part").agg(F.min("id").alias("id")).collect()
+    own = {r["part"]: r["id"] for r in rows}
+    return [own.get(k, 24 * n + k) for k in range(n)]
+
+
 class Kept(dict):
     """Values by key, made when first asked for. At most twice `most` are held; those asked for lately stay."""
 

@@ -1,20 +1,28 @@
 """Scores of a hierarchical Pitman-Yor language model.
 
-Words that follow a context sit in the context's restaurant; a context is a hash of the word before,
-so there is a fixed number of restaurants (a parameter). All share one parent restaurant, whose
-customers are their tables, and whose own base is uniform over the vocabulary and one unknown word.
-
-Tokens are dealt to buckets by their word, so all that is known of a word meets in one task: its
-counts by restaurant, its tables, its parent's tables. Only totals by restaurant cross tasks. A Gibbs
-round reseats each word's customers in each restaurant one after another, given everybody else's
-seats of the round before; seats follow from the counts, the totals of earlier rounds and a seed,
-so a lost task is simply run again. Predictive probabilities are averaged over the rounds kept.
-
-Counts and tokens travel as packed arrays. A task adds up equal pairs before it sends them.
+Words that follow two words sit in the restaurant of those two; its tables are customers in the restaurant
+of the nearer word, whose tables are customers in the one that all share, whose own base is uniform over
+the vocabulary and one unknown word. A context is the words themselves (64-bit names; the farther word
+by 40 bits within the nearer one's restaurants), so restaurants grow with the corpus.
+
+Tokens are dealt to buckets by the word before them: all restaurants of that word, with one word and with
+two, are in one bucket. Words that are more than a small share of all tokens have their restaurants
+spread over all buckets by the word that follows; what such a restaurant's parts have in common, its
+numbers of customers and tables, is summed up between rounds, and so are the customers that each
+word has in the shared restaurant. Nothing else crosses buckets, and parts are added up before they go.
+
+A Gibbs round takes each dish's whole seating in a restaurant out and draws its number of tables from the
+conditional (see `stirling`), given what all other dishes and the other levels had before the round.
+Rounds run in parallel: within a round no draw sees another. Draws follow from the dish, the round and a
+seed, so a lost task is simply run again, and the way tokens are dealt changes nothing. Predictive
+probabilities are averaged over the rounds kept. Discounts come from the counts of one and two, once;
+strengths are constants.
 """
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,45 +30,97 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Kept, alone, documents, remainder, staged, texts_of, width
+from .common import Kept, alone, characters, discard, documents, labels, new_path, remainder, shuffles_freed, staged, texts_of, width
+from .stirling import Stirling, drawn
 
-#: Restaurants of contexts; rounds of seating; the first rounds, which are not averaged.
-CONTEXTS, ROUNDS, BURN_IN = 1 << 16, 4, 1
-STRENGTH, PARENT_STRENGTH = 1.0, 10.0
+#: Rounds of seating; the first rounds, which are not averaged.
+ROUNDS, BURN_IN = 3, 1
+#: Strengths of the shared restaurant, of those of one word and of those of two.
+STRENGTHS = (10.0, 2.0, 1.0)
 #: Tokens that a task packs at once, and documents among them at most.
 BLOCK_TOKENS, BLOCK_DOCS = 700_000, 30_000
+#: Characters of text that a bucket has on average at most.
+BUCKET_CHARS = 16_000_000
+#: A word's restaurants are spread if it is more than this share of an average bucket. One document in so many is looked at.
+SPREAD, LOOKED_AT = 0.25, 8
 END = b"\n"  # no word holds it
-SLICE = 4096
-
+GOLDEN = 0x9E3779B97F4A7C15
 
 
 def name(word: bytes) -> bytes:
     return xxhash.xxh64_intdigest(word).to_bytes(8, "little")
 
 
-def _heads(*columns: np.ndarray) -> np.ndarray:
-    """Where a run of equal rows begins."""
-    n = len(columns[0])
-    new = np.zeros(n, bool)
+END_NAME = np.frombuffer(name(END), "<u8")[0]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A name for the two in this order."""
+    return mixed(mixed(a + np.uint64(GOLDEN)) * np.uint64(3) + b)
+
+
+def uniform(keys: np.ndarray, seed: int) -> np.ndarray:
+    """A number between 0 and 1 for each key."""
+    salt = np.uint64((seed + 1) * GOLDEN % (1 << 64))
+    return ((mixed(mixed(keys ^ salt) + salt) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+
+
+def heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins, as a mask."""
+    new = np.zeros(len(columns[0]), bool)
     new[:1] = True
     for c in columns:
         new[1:] |= c[1:] != c[:-1]
-    return np.flatnonzero(new)
+    return new
+
+
+def runs(new: np.ndarray) -> np.ndarray:
+    return np.diff(np.append(np.flatnonzero(new), len(new)))
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes as the largest needs; a first byte says how many."""
+    most = int(numbers.max()) if len(numbers) else 0
+    size = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return bytes([size]) + numbers.astype(f"<u{size}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def bucket(names: np.ndarray, n: int) -> np.ndarray:
-    return ((names >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
+def five(x: np.ndarray) -> bytes:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def from_five(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").reshape(-1)
+
+
+def member(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(x), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
 
 
 @dataclass
 class Tokens:
-    """The tokens of some documents: names, contexts, and each one's document by number."""
+    """The tokens of some documents: names, the word before, 40 bits of the one before that, and each one's document by number."""
 
     names: np.ndarray
-    contexts: np.ndarray
+    before: np.ndarray
+    farther: np.ndarray
     owner: np.ndarray
     ids: list
     held_out: np.ndarray
@@ -76,9 +136,11 @@ def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
 
     def made() -> Tokens:
         names = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u8")
-        before = np.concatenate((np.frombuffer(name(END), "<u8"), names[:-1]))
-        contexts = ((before * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % CONTEXTS
-        return Tokens(names, contexts.astype(np.uint16 if CONTEXTS <= 1 << 16 else np.uint32), np.repeat(np.arange(len(lengths)), lengths), list(ids), np.asarray(held))
+        before = np.concatenate(([END_NAME], names[:-1]))
+        farther = np.concatenate(([END_NAME], before[:-1]))
+        starts = np.cumsum([0, *lengths[:-1]])
+        farther[starts] = END_NAME
+        return Tokens(names, before, farther >> np.uint64(24), np.repeat(np.arange(len(lengths)), lengths), list(ids), np.asarray(held))
 
     for batch in batches:
         for i, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -95,286 +157,418 @@ def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
         yield made()
 
 
-PAIRS = "bucket int, names binary, runs binary, contexts binary, counts binary"
+def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
-def _pack(names, contexts, counts, n_buckets) -> Iterator[tuple]:
-    """(bucket, distinct names, entries of each, contexts, counts) from entries sorted by (bucket, name, context)."""
-    b = bucket(names, n_buckets)
-    edges = np.append(_heads(b), len(b))
-    for i, j in zip(edges, edges[1:], strict=False):
-        own = _heads(names[i:j])
-        yield int(b[i]), names[i:j][own].tobytes(), np.diff(np.append(own, j - i)).astype("<u4").tobytes(), contexts[i:j].astype("<u4" if CONTEXTS > 1 << 16 else "<u2").tobytes(), counts[i:j].astype("<u4").tobytes()
+def table_of(rows: list[tuple], schema: str) -> pa.Table:
+    return pa.Table.from_batches([batch_of(rows, schema)])
 
 
-def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    names, contexts, counts = [], [], []
-    for n, runs, c, k in zip(*(table[x].to_pylist() for x in ("names", "runs", "contexts", "counts")), strict=True):
-        names.append(np.repeat(np.frombuffer(n, "<u8"), np.frombuffer(runs, "<u4")))
-        contexts.append(np.frombuffer(c, "<u4" if CONTEXTS > 1 << 16 else "<u2"))
-        counts.append(np.frombuffer(k, "<u4"))
-    return np.concatenate(names), np.concatenate(contexts), np.concatenate(counts)
+@dataclass(frozen=True)
+class Dealt:
+    """How tokens are dealt: a label for each bucket, and the words whose restaurants are spread, in order."""
 
+    labels: np.ndarray
+    spread: np.ndarray
 
-def _batch(rows: list[tuple], types: tuple, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+    def place(self, before: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """The bucket of a word after another."""
+        by = np.where(member(before, self.spread), joined(before, names), mixed(before))
+        return ((by >> np.uint64(20)) % np.uint64(len(self.labels))).astype(np.int64)
 
+    def reducer(self, keys: np.ndarray) -> np.ndarray:
+        return ((mixed(keys) >> np.uint64(20)) % np.uint64(len(self.labels))).astype(np.int64)
 
-BINARY = pa.binary()
 
+def frequent(rows: DataFrame, share: float) -> np.ndarray:
+    """Words that are about that share of the tokens or more, by one document in LOOKED_AT. It settles where tokens go, not what comes out.
 
-def count_pairs(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
-    for t in tokens(batches):
-        order = np.lexsort((t.contexts, t.names, bucket(t.names, n_buckets)))
-        names, contexts = t.names[order], t.contexts[order]
-        new = _heads(names, contexts)
-        rows = list(_pack(names[new], contexts[new], np.diff(np.append(new, len(names))), n_buckets))
-        yield _batch(rows, (pa.int32(), BINARY, BINARY, BINARY, BINARY), ["bucket", "names", "runs", "contexts", "counts"])
-
+    A word with that share has it in one task at least, so tasks send what has half of it there; 2 / share words of a task at most.
+    """
 
-def merge_pairs(table: pa.Table) -> pa.Table:
-    """One row for a bucket: its pairs in order of (name, context), and what the totals need."""
-    names, contexts, counts = _unpack(table)
-    order = np.lexsort((contexts, names))
-    names, contexts, counts = names[order], contexts[order], counts[order]
-    new = _heads(names, contexts)
-    counts = np.add.reduceat(counts.astype(np.int64), new)
-    names, contexts = names[new], contexts[new]
-    own = _heads(names)
-    spread = np.diff(np.append(own, len(names)))
-    row = (table["bucket"][0].as_py(), names[own].tobytes(), spread.astype("<u4").tobytes(), contexts.tobytes(), counts.astype("<u4").tobytes(), int(counts.sum()), len(own), int((counts == 1).sum()), int((counts == 2).sum()), int((spread == 1).sum()), int((spread == 2).sum()))
-    return pa.table([pa.array([x]) if k else pa.array([x], pa.int32()) for k, x in enumerate(row)], names=[*"bucket names runs contexts counts".split(), "n", "v", "n1", "n2", "m1", "m2"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in tokens(batches):
+            words, n = np.unique(t.names, return_counts=True)
+            often = n >= share / 2 * len(t.names)
+            yield batch_of([(int(w), int(k), 0) for w, k in zip(words[often].view(np.int64), n[often], strict=True)] + [(0, 0, len(t.names))], "word long, n long, total long")
 
+    looked = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("look")), F.lit(LOOKED_AT)) == 0)
+    counts = looked.mapInArrow(count, "word long, n long, total long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()
+    total = sum(r["total"] for r in counts)
+    return np.sort(np.asarray([r["word"] for r in counts if r["n"] and r["n"] >= share * total], np.int64).view(np.uint64))
 
-@dataclass
-class State:
-    """Totals that all tasks know. tables: by restaurant, a row for each round so far."""
 
-    n: int
-    v: int
-    discount: float
-    parent_discount: float
-    customers: np.ndarray
-    tables: list[np.ndarray]
-    #: Tables of the parent's restaurant, by round.
-    parent_tables: list[float]
+SENT = "bucket int, block long, before binary, before_runs binary, names binary, name_runs binary, farther binary, token_runs binary, owners binary, head binary"
 
 
-def seated(counts: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables that each dish's customers take, one after another: a new one with chance fresh / (fresh + seated - discount * tables).
+def send(batches: Iterator[pa.RecordBatch], dealt: Dealt) -> Iterator[pa.RecordBatch]:
+    """All tokens by bucket: distinct words before, what follows each, the distinct words farther back of each of those, and the documents of each.
 
-    From the 32nd on, customers come in groups a quarter as large as those seated, and a group's
-    chances are those at its middle; so a dish of a billion customers takes about a hundred draws.
-    """
-    counts = np.rint(counts).astype(np.int64)
-    tables = np.minimum(counts, 1).astype(np.float64)
-    active = np.flatnonzero(counts > 1)
-    n = 1
-    while len(active):
-        step = 1 if n < 32 else n // 4
-        group = np.minimum(counts[active], n + step) - n
-        t, f = tables[active], fresh[active]
-        chance = f / (f + n + (group - 1) / 2 - discount * t)
-        tables[active] = t + (rng.random(len(active)) < chance if step == 1 else rng.binomial(group, np.clip(chance, 0, 1)))
-        n += step
-        active = active[counts[active] > n]
-    return tables
-
-
-def parent(state: State, k: int, tables: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Predictive probabilities of words in the parent's restaurant after round k: `tables` sit there, at `own` tables."""
-    total = state.tables[k].sum()
-    back = (PARENT_STRENGTH + state.parent_discount * state.parent_tables[k]) / (PARENT_STRENGTH + total)
-    return (tables - state.parent_discount * own) / (PARENT_STRENGTH + total) + back / (state.v + 1)
-
-
-def rounds(state: State, which: int, n_rounds: int, words: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(tables of each pair, parent's customers of each word, parent's tables of each word) after rounds 0 to n_rounds.
-
-    Round 0 gives every pair and every word one table. Round k needs the totals of rounds before k only.
+    An owner's low bit says whether it is held out; what add_up needs of a block's documents goes with its first row.
     """
-    n_words = int(words[-1]) + 1 if len(words) else 0
-    tables = np.ones(len(counts))
-    for k in range(n_rounds + 1):
-        if k:
-            rng = np.random.default_rng([which, k])
-            fresh = (STRENGTH + state.discount * state.tables[k - 1][contexts]) * parent(state, k - 1, customers, own)[words]  # noqa: F821
-            tables = seated(counts, fresh, state.discount, rng)
-        customers = np.bincount(words, tables, n_words)
-        if k:
-            base = (PARENT_STRENGTH + state.parent_discount * state.parent_tables[k - 1]) / (state.v + 1)
-            own = seated(customers, np.full(n_words, base), state.parent_discount, rng)
-        else:
-            own = np.ones(n_words)
-        yield tables, customers, own
-
-
-def totals(pairs: DataFrame, value) -> tuple[np.ndarray, float]:
-    """By restaurant, and for the parent, the sums of value(bucket, words, contexts, counts) over all buckets. Summed in slices by Spark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, extra = np.zeros(CONTEXTS), 0.0
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = pa.table(batch.slice(i, 1))
-                names, contexts, counts = _unpack(row)
-                runs = np.frombuffer(row["runs"][0].as_py(), "<u4")
-                by_pair, more = value(row["bucket"][0].as_py(), np.repeat(np.arange(len(runs)), runs), contexts, counts)
-                total += np.bincount(contexts, by_pair, CONTEXTS)
-                extra += more
-        rows = [(k, total[k * SLICE : (k + 1) * SLICE].tobytes(), extra if k == 0 else 0.0) for k in range(-(-CONTEXTS // SLICE))]
-        yield _batch(rows, (pa.int32(), BINARY, pa.float64()), ["k", "sums", "extra"])
-
-    def add(table: pa.Table) -> pa.Table:
-        sums = np.sum([np.frombuffer(x, "<f8") for x in table["sums"].to_pylist()], axis=0)
-        return pa.table({"k": pa.array([table["k"][0].as_py()], pa.int32()), "sums": [sums.tobytes()], "extra": [sum(table["extra"].to_pylist())]})
-
-    schema = "k int, sums binary, extra double"
-    parts = pairs.select(*"bucket names runs contexts counts".split()).mapInArrow(run, schema).groupBy("k").applyInArrow(add, schema).collect()  # CONTEXTS numbers
-    out = np.zeros(CONTEXTS)
-    for r in parts:
-        out[r["k"] * SLICE : (r["k"] + 1) * SLICE] = np.frombuffer(r["sums"], "<f8")
-    return out, float(sum(r["extra"] for r in parts))
-
-
-def train(training: DataFrame, n_buckets: int, n_rounds: int = ROUNDS) -> State:
-    """Totals after all rounds, from (doc_id, held_out, text) of the training documents."""
-    sent = training.mapInArrow(lambda batches: count_pairs(batches, n_buckets), PAIRS)
-    pairs = staged(sent.groupBy("bucket").applyInArrow(merge_pairs, PAIRS + ", n long, v long, n1 long, n2 long, m1 long, m2 long"), "pairs")
-    s = pairs.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n1", "n2", "m1", "m2")]).first()
-    discount = lambda a, b: float(np.clip(a / (a + 2 * b) if a + b else 0.5, 0.1, 0.95))
-    customers, _ = totals(pairs, lambda _, words, contexts, counts: (counts.astype(float), 0.0))
-    tables, _ = totals(pairs, lambda _, words, contexts, counts: (np.ones(len(counts)), 0.0))
-    state = State(s["n"], s["v"], discount(s["n1"], s["n2"]), discount(s["m1"], s["m2"]), customers, [tables], [float(s["v"])])
-    for k in range(1, n_rounds + 1):
-        shared = training.sparkSession.sparkContext.broadcast(state)
-
-        def value(which, words, contexts, counts, k=k, shared=shared):
-            for tables, _, own in rounds(shared.value, which, k, words, contexts, counts):
-                pass
-            return tables, float(own.sum())
-
-        tables, parent_tables = totals(pairs, value)
-        state.tables.append(tables)
-        state.parent_tables.append(parent_tables)
-    return state
-
-
-TOKENS = "bucket int, block long, names binary, runs binary, contexts binary, owners binary, ids binary, lengths binary"
-
-
-def send_tokens(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
-    """All tokens by bucket. An owner's low bit says whether it is held out; ids and lengths of a block go with its first row."""
     part = TaskContext.get().partitionId()
     for k, t in enumerate(tokens(batches)):
-        order = np.lexsort((t.contexts, t.names, bucket(t.names, n_buckets)))
-        names, contexts = t.names[order], t.contexts[order]
-        owner = t.owner[order]
-        marked = (owner << 1 | t.held_out[owner]).astype("<u2")
+        place = dealt.place(t.before, t.names)
+        # equal entries come together: hashes of the parts in this order, so that what is within a part is near too
+        key = place.astype(np.uint64) << np.uint64(48)
+        for shift, x in ((32, t.before), (16, t.names), (0, t.farther)):
+            key |= (mixed(x) & np.uint64(0xFFFF)) << np.uint64(shift)
+        order = np.argsort(key, kind="stable")
+        place, before, names, farther, owner = place[order], t.before[order], t.names[order], t.farther[order], t.owner[order]
+        first = heads(place)
+        new_before = first | heads(before)
+        new_name = new_before | heads(names)
+        new_entry = new_name | heads(farther)
+        owners = (owner << 1 | t.held_out[owner]).astype("<u2")
+        edges = np.append(np.flatnonzero(first), len(place))
         rows = []
-        at = 0
-        for b, own, runs, c, _ in _pack(names, contexts, np.zeros(len(names), np.int64), n_buckets):
-            n = int(np.frombuffer(runs, "<u4").sum())
-            first = at == 0
-            ids = pa.array(t.ids, pa.int64())
-            head = np.stack((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64))).tobytes() if first else None
-            lengths = (np.bincount(t.owner, minlength=len(t.ids)) << 1 | t.held_out).astype("<i8").tobytes() if first else None
-            rows.append((b, part << 32 | k, own, runs, c, marked[at : at + n].tobytes(), head, lengths))
-            at += n
-        yield _batch(rows, (pa.int32(), pa.int64(), BINARY, BINARY, BINARY, BINARY, BINARY, BINARY), TOKENS.replace(" int", "").replace(" long", "").replace(" binary", "").split(", "))
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            b, n, e = new_before[i:j], new_name[i:j], new_entry[i:j]
+            head = None
+            if not i:
+                ids = pa.array(t.ids, pa.int64())
+                head = pickle.dumps((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), np.bincount(t.owner, minlength=len(t.ids)), t.held_out), 5)
+            rows.append((int(dealt.labels[place[i]]), part << 32 | k, before[i:j][b].tobytes(), packed(runs(b[n])), names[i:j][n].tobytes(), packed(runs(n[e])), five(farther[i:j][e]), packed(runs(e)), owners[i:j].tobytes(), head))
+        yield batch_of(rows, SENT)
+
+
+COUNTS = "n long, one1 long, two1 long, one2 long, two2 long"
+MODEL = "bucket int, model binary, " + COUNTS
+
+
+def merge(table: pa.Table, dealt: Dealt) -> pa.Table:
+    """One row for a bucket: its restaurants and tokens, pickled."""
+    parts: list[list[np.ndarray]] = [[], [], [], [], []]
+    for b, br, n, nr, x, er, o in zip(*(table[c].to_pylist() for c in ("before", "before_runs", "names", "name_runs", "farther", "token_runs", "owners")), strict=True):
+        name_runs = unpacked(nr)
+        parts[0].append(np.repeat(np.repeat(np.frombuffer(b, "<u8"), unpacked(br)), name_runs))
+        parts[1].append(np.repeat(np.frombuffer(n, "<u8"), name_runs))
+        parts[2].append(from_five(x))
+        parts[3].append(unpacked(er))
+        parts[4].append(np.frombuffer(o, "<u2"))
+    sizes = [len(x) for x in parts[4]]
+    before, names, farther, n, owners = map(np.concatenate, parts)
+    pair = joined(before, names)
+    order = np.lexsort((farther, pair))
+    pair, farther = pair[order], farther[order]
+    new_pair = heads(pair)
+    new = new_pair | heads(farther)
+    triple = np.empty(len(order), np.int32)
+    triple[order] = np.cumsum(new) - 1
+    token = np.repeat(triple, n)
+    m = {"token": token, "owners": owners, "blocks": table["block"].to_pylist(), "sizes": sizes, "heads": table["head"].to_pylist()}
+    counts = np.bincount(token[(owners & 1) == 0], minlength=int(new.sum()))
+    of_pair = (np.cumsum(new_pair) - 1)[new].astype(np.int32)
+    first = order[new_pair]
+    m["words"], pair_word = np.unique(names[first], return_inverse=True)
+    contexts, pair_context = np.unique(before[first], return_inverse=True)
+    doubles, triple_double = np.unique(joined(contexts[pair_context][of_pair], farther[new]), return_inverse=True)
+    m["counts"], m["pair"], m["double"] = counts, of_pair, triple_double.astype(np.int32)
+    m["pair_word"], m["pair_context"] = pair_word.astype(np.int32), pair_context.astype(np.int32)
+    # what is shared with other buckets: contexts that are spread, and the pairs of words that end in one
+    shared = member(contexts, dealt.spread)
+    m["n_contexts"], m["n_doubles"] = len(contexts), len(doubles)
+    m["shared_contexts"] = np.flatnonzero(shared)
+    m["shared_doubles"] = np.unique(triple_double[shared[pair_context][of_pair]])
+    m["shared_keys"] = np.concatenate((joined(contexts[m["shared_contexts"]], np.uint64(1)), joined(doubles[m["shared_doubles"]], np.uint64(2))))
+    total = np.bincount(of_pair, counts, len(pair_word)).astype(np.int64)
+    m["again"], m["pair_again"] = np.flatnonzero(counts > 1), np.flatnonzero(total > 1)
+    m["keys"], m["pair_keys"] = joined(pair[new], farther[new])[m["again"]], pair[new_pair][m["pair_again"]]
+    customers = np.bincount(of_pair, np.minimum(counts, 1), len(pair_word))
+    row = (table["bucket"][0].as_py(), pickle.dumps(m, 5), int(counts.sum()), int((customers == 1).sum()), int((customers == 2).sum()), int((counts == 1).sum()), int((counts == 2).sum()))
+    return table_of([row], MODEL)
+
+
+@dataclass(frozen=True)
+class Totals:
+    """What all buckets know of a round: the shared restaurant's customers and tables, and of the corpus its tokens, its vocabulary and the discounts."""
+
+    customers: int = 0
+    tables: int = 0
+    n: int = 0
+    vocabulary: int = 0
+    discounts: tuple[float, float, float] = (0.5, 0.5, 0.5)
+
+
+class Seats:
+    """A bucket's restaurants after a round, with the totals they share with other buckets."""
+
+    def __init__(self, m: dict, totals: Totals, state: bytes | None, shared: list[tuple[int, bytes]], dealt: Dealt) -> None:
+        self.m, self.totals = m, totals
+        self.tables = np.minimum(m["counts"], 1)
+        n_pairs = len(m["pair_word"])
+        self.pair_tables = np.zeros(n_pairs, np.int64)
+        if state is not None:
+            again, pair_again = pickle.loads(state)
+            self.tables[m["again"]] = again
+        self.customers = np.bincount(m["pair"], self.tables, n_pairs).astype(np.int64)
+        self.pair_tables = np.minimum(self.customers, 1)
+        if state is not None:
+            self.pair_tables[m["pair_again"]] = pair_again
+        self.in_double = np.bincount(m["double"], m["counts"], m["n_doubles"]).astype(np.int64)
+        self.double_tables = np.bincount(m["double"], self.tables, m["n_doubles"]).astype(np.int64)
+        self.in_context = np.bincount(m["pair_context"], self.customers, m["n_contexts"]).astype(np.int64)
+        self.context_tables = np.bincount(m["pair_context"], self.pair_tables, m["n_contexts"]).astype(np.int64)
+        self.word_customers = np.bincount(m["pair_word"], self.pair_tables, len(m["words"])).astype(np.int64)
+        self.word_tables = np.zeros(len(m["words"]), np.int64)
+        self.word_counts = np.bincount(m["pair_word"][m["pair"]], m["counts"], len(m["words"])).astype(np.int64)
+        if not shared:
+            return
+        at, at_shared = self.slices(dealt)
+        label = {int(x): k for k, x in enumerate(dealt.labels)}
+        n_contexts = len(m["shared_contexts"])
+        a, b = np.zeros(len(m["shared_keys"]), np.int64), np.zeros(len(m["shared_keys"]), np.int64)
+        for reducer, payload in shared:
+            k = label[reducer]
+            own, tables, counts, x, y = map(unpacked, pickle.loads(payload))
+            words, keys = at[k], at_shared[k]
+            self.word_customers[words], self.word_tables[words], self.word_counts[words], a[keys], b[keys] = own, tables, counts, x, y
+        self.in_context[m["shared_contexts"]], self.context_tables[m["shared_contexts"]] = a[:n_contexts], b[:n_contexts]
+        self.in_double[m["shared_doubles"]], self.double_tables[m["shared_doubles"]] = a[n_contexts:], b[n_contexts:]
+
+    def slices(self, dealt: Dealt) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+        """The words, and the shared keys, that each reducer adds up."""
+        out = []
+        for keys in (self.m["words"], self.m["shared_keys"]):
+            place = dealt.reducer(keys)
+            order = np.argsort(place, kind="stable")
+            edges = np.searchsorted(place[order], np.arange(len(dealt.labels) + 1))
+            out.append({k: order[edges[k] : edges[k + 1]] for k in range(len(dealt.labels))})
+        return out[0], out[1]
+
+    def messages(self, bucket: int, dealt: Dealt) -> list[tuple]:
+        """Rows for the reducers: keys and this bucket's part of their sums."""
+        m = self.m
+        a = np.concatenate((self.in_context[m["shared_contexts"]], self.in_double[m["shared_doubles"]]))
+        b = np.concatenate((self.context_tables[m["shared_contexts"]], self.double_tables[m["shared_doubles"]]))
+        words, shared = self.slices(dealt)
+        out = []
+        for k in range(len(dealt.labels)):
+            w, s = words[k], shared[k]
+            if len(w) or len(s):
+                parts = (m["words"][w].tobytes(), packed(self.word_customers[w]), packed(self.word_counts[w]), packed(self.word_tables[w]), m["shared_keys"][s].tobytes(), packed(a[s]), packed(b[s]))
+                out.append((1, bucket, int(dealt.labels[k]), pickle.dumps(parts, 5)))
+        return out
+
+    def root(self) -> np.ndarray:
+        """The chance of each word in the shared restaurant."""
+        t, d, s = self.totals, self.totals.discounts[0], STRENGTHS[0]
+        return (self.word_customers - d * self.word_tables + (s + d * t.tables) / (t.vocabulary + 1)) / (s + t.customers)
+
+    def middle(self, root: np.ndarray) -> np.ndarray:
+        """The chance of each pair's word after its context of one word."""
+        m, d, s = self.m, self.totals.discounts[1], STRENGTHS[1]
+        c = m["pair_context"]
+        return (self.customers - d * self.pair_tables + (s + d * self.context_tables[c]) * root[m["pair_word"]]) / (s + self.in_context[c])
+
+    def chances(self) -> np.ndarray:
+        """The chance of each triple's word after its context of two words."""
+        m, d, s = self.m, self.totals.discounts[2], STRENGTHS[2]
+        up = self.middle(self.root())[m["pair"]]
+        return (m["counts"] - d * self.tables + (s + d * self.double_tables[m["double"]]) * up) / (s + self.in_double[m["double"]])
+
+    def reseated(self, k: int) -> bytes:
+        """Draw all tables anew, for round k; returns the state."""
+        m = self.m
+        root = self.root()
+        d0, d1, d2 = self.totals.discounts
+        rows, pairs = m["again"], m["pair_again"]
+        # a dish with its tables out: the parent's customers, tables and totals without them
+        own, p = self.tables[rows], m["pair"][rows]
+        rest = self.customers[p] - own
+        rest_tables = np.where(rest > 0, np.minimum(self.pair_tables[p], rest), 0)
+        c = m["pair_context"][p]
+        tables = self.context_tables[c] - (self.pair_tables[p] - rest_tables)
+        chance = (rest - d1 * rest_tables + (STRENGTHS[1] + d1 * tables) * root[m["pair_word"][p]]) / (STRENGTHS[1] + self.in_context[c] - own)
+        room = STRENGTHS[2] + d2 * np.maximum(self.double_tables[m["double"][rows]] - own, 0)
+        again = drawn(stirling(d2), m["counts"][rows], room, chance, uniform(m["keys"], 2 * k))
+        self.tables[rows] = again
+        customers = np.bincount(m["pair"], self.tables, len(m["pair_word"])).astype(np.int64)[pairs]
+        t, w = self.totals, m["pair_word"][pairs]
+        own = self.pair_tables[pairs]
+        rest = np.maximum(self.word_customers[w] - own, 0)
+        rest_tables = np.where(rest > 0, np.minimum(self.word_tables[w], rest), 0)
+        chance = (rest - d0 * rest_tables + (STRENGTHS[0] + d0 * (t.tables - self.word_tables[w] + rest_tables)) / (t.vocabulary + 1)) / (STRENGTHS[0] + t.customers - own)
+        room = STRENGTHS[1] + d1 * np.maximum(self.context_tables[m["pair_context"][pairs]] - own, 0)
+        pair_again = drawn(stirling(d1), customers, room, chance, uniform(m["pair_keys"], 2 * k + 1))
+        return pickle.dumps((again, pair_again), 5)
+
+
+def stirling(d: float) -> Stirling:
+    kept = alone("stirling", dict)
+    if d not in kept:
+        kept[d] = Stirling(d)
+    return kept[d]
+
+
+RESPONSE = "bucket int, reducer int, payload binary, customers long, tables long, n long, vocabulary long, one0 long, two0 long"
+
+
+def add(table: pa.Table, totals: Totals, k: int) -> pa.Table:
+    """A reducer's answer to each bucket, in the order that the bucket sent its keys, and a row of totals. From round 1 on words are reseated in the shared restaurant."""
+    rows = [pickle.loads(x) for x in table["payload"].to_pylist()]
+    sizes = [len(r[0]) // 8 for r in rows]
+    words, place = np.unique(np.frombuffer(b"".join(r[0] for r in rows), "<u8"), return_inverse=True)
+    summed = lambda j: np.bincount(place, np.concatenate([unpacked(r[j]) for r in rows]), len(words)).astype(np.int64)
+    customers = summed(1)
+    counts = summed(2) if k == 0 else np.zeros(len(words), np.int64)
+    own = np.zeros(len(words), np.int64)
+    np.maximum.at(own, place, np.concatenate([unpacked(r[3]) for r in rows]))
+    if k == 0:
+        tables = np.minimum(customers, 1)
+    else:
+        np.maximum.at(counts, place, np.concatenate([unpacked(r[2]) for r in rows]))
+        d = totals.discounts[0]
+        tables = drawn(stirling(d), customers, STRENGTHS[0] + d * np.maximum(totals.tables - own, 0), np.full(len(words), 1 / (totals.vocabulary + 1)), uniform(words, 1_000_000 + k))
+    keys, at = np.unique(np.frombuffer(b"".join(r[4] for r in rows), "<u8"), return_inverse=True)
+    a, b = (np.bincount(at, np.concatenate([unpacked(r[j]) for r in rows]), len(keys)).astype(np.int64) for j in (5, 6))
+    out = []
+    edges, shared = np.cumsum([0, *sizes]), np.cumsum([0, *[len(r[4]) // 8 for r in rows]])
+    reducer = table["reducer"][0].as_py()
+    for i, bucket in enumerate(table["bucket"].to_pylist()):
+        w, s = place[edges[i] : edges[i + 1]], at[shared[i] : shared[i + 1]]
+        out.append((bucket, reducer, pickle.dumps(tuple(map(packed, (customers[w], tables[w], counts[w], a[s], b[s]))), 5), 0, 0, 0, 0, 0, 0))
+    seen = counts > 0
+    out.append((None, reducer, None, int(customers.sum()), int(tables.sum()), int(counts.sum()), int(seen.sum()), int((customers == 1).sum()), int((customers == 2).sum())))
+    return table_of(out, RESPONSE)
+
+
+def discount(one: int, two: int) -> float:
+    return float(np.clip(one / (one + 2 * two) if one + two else 0.5, 0.1, 0.95))
+
+
+def sums(frame: DataFrame, columns: str) -> dict[str, int]:
+    return frame.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns.replace(" long", "").split(", ")]).first().asDict()
+
+
+STEP = "kind int, bucket int, reducer int, payload binary"
+PARTS = "block long, owners binary, scores binary, bases binary, known binary, head binary"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-PARTS = "block long, owners binary, scores binary, bases binary, known binary, ids binary, lengths binary"
+def arrived(right: pa.Table, k: int) -> tuple[bytes | None, list[tuple[int, bytes]]]:
+    """The state after round k, and the reducers' answers."""
+    state, shared = None, []
+    for kind, r, reducer, payload in zip(*(right[c].to_pylist() for c in ("kind", "round", "reducer", "payload")), strict=True):
+        if r == k and kind == 0:
+            state = payload
+        elif r == k:
+            shared.append((reducer, payload))
+    return state, shared
 
 
-def score_bucket(table: pa.Table, state: State, n_rounds: int, burn_in: int) -> pa.Table:
+def score_bucket(left: pa.Table, right: pa.Table, totals: dict[int, Totals], dealt: Dealt) -> pa.Table:
     """A row for each block: sums over its documents' tokens in this bucket."""
-    names, contexts, owners, block = [], [], [], []
-    for i, (n, runs, c, o) in enumerate(zip(*(table[x].to_pylist() for x in ("names", "runs", "contexts", "owners")), strict=True)):
-        names.append(np.repeat(np.frombuffer(n, "<u8"), np.frombuffer(runs, "<u4")))
-        contexts.append(np.frombuffer(c, "<u4" if CONTEXTS > 1 << 16 else "<u2"))
-        owners.append(np.frombuffer(o, "<u2"))
-        block.append(np.full(len(owners[-1]), i, np.int32))
-    names, contexts, owners, block = map(np.concatenate, (names, contexts, owners, block))
-    order = np.lexsort((contexts, names))
-    names, contexts, owners, block = names[order], contexts[order], owners[order], block[order]
-    new = _heads(names, contexts)
-    pair = np.repeat(np.arange(len(new), dtype=np.int32), np.diff(np.append(new, len(names))))
-    counts = np.bincount(pair, (owners & 1) == 0, len(new)).astype(np.int64)
-    pair_name, pair_context = names[new], contexts[new]
-    del names, contexts, order
-    # pairs met in training, numbered as in training: their seats come out the same
-    met = np.flatnonzero(counts)
-    own = _heads(pair_name[met])
-    words = np.repeat(np.arange(len(own)), np.diff(np.append(own, len(met))))
-    word_names = pair_name[met][own]
-    place = np.searchsorted(word_names, pair_name)
-    known = np.zeros(len(pair_name), bool)
-    inside = place < len(word_names)
-    known[inside] = word_names[place[inside]] == pair_name[inside]
-    place = np.where(known, place, 0)
-    by_word = np.bincount(words, counts[met], len(own))
-    p = np.zeros(len(new))
-    which = table["bucket"][0].as_py()
-    for k, (tables, customers, parents) in enumerate(rounds(state, which, n_rounds, words, pair_context[met], counts[met])):
-        if k <= burn_in and k < n_rounds:
-            continue
-        up = np.full(len(new), parent(state, k, np.zeros(1), np.zeros(1))[0])
-        if len(own):
-            up = np.where(known, parent(state, k, customers, parents)[place], up)
-        held = np.zeros(len(new))
-        held[met] = counts[met] - state.discount * tables
-        total = STRENGTH + state.customers[pair_context]
-        p += held / total + (STRENGTH + state.discount * state.tables[k][pair_context]) / total * up
-    p /= max(1, n_rounds - burn_in) if n_rounds > burn_in else 1
-    base = np.log10(((by_word[place] if len(own) else 0) * known + 1) / (state.n + 1 * (state.v + 1)))
-    key = block.astype(np.int64) << 16 | owners >> 1
-    del block, owners
-    order = np.argsort(key, kind="stable")
-    key, pair = key[order], pair[order]
-    del order
-    new = _heads(key)
-    docs = key[new]
-    scores, bases, n_known = (np.add.reduceat(x[pair], new) for x in (np.log10(p), base, known.astype(np.int64)))
-    rows = []
-    edges = np.searchsorted(docs >> 16, np.arange(table.num_rows + 1))
-    for i, (j, e) in enumerate(zip(edges, edges[1:], strict=False)):
-        rows.append((table["block"][i].as_py(), (docs[j:e] & 0xFFFF).astype("<u2").tobytes(), scores[j:e].tobytes(), bases[j:e].tobytes(), n_known[j:e].astype("<u4").tobytes(), table["ids"][i].as_py(), table["lengths"][i].as_py()))
-    return pa.Table.from_batches([_batch(rows, (pa.int64(), BINARY, BINARY, BINARY, BINARY, BINARY, BINARY), ["block", "owners", "scores", "bases", "known", "ids", "lengths"])])
-
-
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    if not left.num_rows:
+        return table_of([], PARTS)
+    m = pickle.loads(left["model"][0].as_py())
+    p = np.zeros(len(m["counts"]))
+    for k, t in totals.items():
+        seats = Seats(m, t, *arrived(right, k), dealt)
+        p += seats.chances()
+    score = np.log10(p / len(totals))
+    counts = seats.word_counts[m["pair_word"][m["pair"]]]
+    base, known = np.log10((counts + 1) / (t.n + 1 * (t.vocabulary + 1))), counts > 0
+    rows, at = [], 0
+    for block, size, head in zip(m["blocks"], m["sizes"], m["heads"], strict=True):
+        owner, own = m["owners"][at : at + size] >> 1, m["token"][at : at + size]
+        docs, place = np.unique(owner, return_inverse=True)
+        a, b, c = (np.bincount(place, x[own], len(docs)) for x in (score, base, known))
+        rows.append((block, docs.astype("<u2").tobytes(), a.tobytes(), b.tobytes(), packed(c), head))
+        at += size
+    return table_of(rows, PARTS)
 
 
 def add_up(table: pa.Table, n: int) -> pa.Table:
-    head = next(i for i, x in enumerate(table["ids"].to_pylist()) if x is not None)
-    ids = np.frombuffer(table["ids"][head].as_py(), "<i8").reshape(2, -1)
-    lengths = np.frombuffer(table["lengths"][head].as_py(), "<i8")
-    size = len(lengths)
-    sums = [np.zeros(size) for _ in range(3)]
-    for o, *values in zip(*(table[x].to_pylist() for x in ("owners", "scores", "bases", "known")), strict=True):
+    ids, null, lengths, held = pickle.loads(next(x for x in table["head"].to_pylist() if x is not None))
+    score, base, known = (np.zeros(len(ids)) for _ in range(3))
+    for o, a, b, c in zip(*(table[x].to_pylist() for x in ("owners", "scores", "bases", "known")), strict=True):
         owners = np.frombuffer(o, "<u2")
-        for total, x, kind in zip(sums, values, ("<f8", "<f8", "<u4"), strict=True):
-            total[owners] += np.frombuffer(x, kind)
-    score, base, known = sums
-    return pa.table([pa.array(ids[0], mask=ids[1] == 1), pa.array((lengths & 1) == 1), pa.array(lengths >> 1), pa.array(known.astype(np.int64)), pa.array(np.full(size, n, np.int64)), pa.array(base), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        score[owners] += np.frombuffer(a, "<f8")
+        base[owners] += np.frombuffer(b, "<f8")
+        known[owners] += unpacked(c)
+    return pa.table([pa.array(ids, mask=null), pa.array(held), pa.array(lengths), pa.array(known.astype(np.int64)), pa.array(np.full(len(ids), n, np.int64)), pa.array(base), pa.array(score)], names=[x.split()[0] for x in SCORES.split(", ")])
+
+
+def buckets(spark: SparkSession, size: int) -> int:
+    """A multiple of a shuffle's parts, so that each part has as many; two of them at least. 100,000 is the most that Spark's tables take."""
+    parts = width(spark)
+    return parts * max(1, min(max(2, -(-size // (BUCKET_CHARS * parts))), 100_000 // parts))
 
 
 def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN_IN) -> DataFrame:
     """Learn from the documents of the training fold, score every row of docs.
 
-    A null text counts as empty: its only token is the end. A null id is in the training fold. Without
-    training documents every token is unknown. An empty table gives an empty one.
+    A null text counts as empty: its only token is the end. A null id is in the training fold. Repeated rows
+    each count, and get equal scores. Without training documents every token is unknown. An empty table gives
+    an empty one.
     """
-    n_buckets = 2 * width(docs.sparkSession)
+    spark = docs.sparkSession
     rows = texts_of(docs).select("doc_id", F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out"), "text")
-    state = train(rows.where(~F.col("held_out")), n_buckets, n_rounds)
-    shared = docs.sparkSession.sparkContext.broadcast(state)
-    n = state.n
-    sent = rows.mapInArrow(lambda batches: send_tokens(batches, n_buckets), TOKENS)
-    parts = sent.groupBy("bucket").applyInArrow(lambda table: score_bucket(table, shared.value, n_rounds, burn_in), PARTS)
-    return parts.groupBy("block").applyInArrow(lambda table: add_up(table, n), SCORES)
+    n_buckets = buckets(spark, characters(docs))
+    dealt = Dealt(np.asarray(labels(spark, n_buckets)), frequent(rows, SPREAD / n_buckets))
+    shared = spark.sparkContext.broadcast(dealt)
+    sent = rows.mapInArrow(lambda batches: send(batches, shared.value), SENT)
+    # a table in buckets: its rows meet those of a round without being moved again
+    name_, place, work = f"knotwork_{uuid.uuid4().hex}", new_path(spark, "model"), []
+    with shuffles_freed(spark):
+        sent.groupBy("bucket").applyInArrow(lambda table: merge(table, shared.value), MODEL).write.bucketBy(n_buckets, "bucket").option("path", place).saveAsTable(name_)
+    model = spark.table(name_)
+    counted = sums(model, COUNTS)
+
+    def keep(frame: DataFrame, what: str) -> DataFrame:
+        work.append(new_path(spark, what))
+        return staged(frame, what, work[-1])
+
+    def step(k: int, totals: Totals, right: DataFrame | None) -> DataFrame:
+        if right is None:
+
+            def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                        yield batch_of(Seats(pickle.loads(data), totals, None, [], shared.value).messages(bucket, shared.value), STEP)
+
+            return keep(model.select("bucket", "model").mapInArrow(first, STEP), "step")
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not left.num_rows:
+                return table_of([], STEP)
+            bucket, m = left["bucket"][0].as_py(), pickle.loads(left["model"][0].as_py())
+            before = Seats(m, totals, *arrived(right, k - 1), shared.value)
+            state = before.reseated(k)
+            after = Seats(m, totals, state, [], shared.value)
+            after.word_counts, after.word_tables = before.word_counts, before.word_tables
+            return table_of([(0, bucket, -1, state), *after.messages(bucket, shared.value)], STEP)
+
+        return keep(model.select("bucket", "model").groupBy("bucket").cogroup(right.groupBy("bucket")).applyInArrow(run, STEP), "step")
+
+    totals, averaged, right, before = Totals(), {}, None, {}
+    for k in range(n_rounds + 1):
+        now = step(k, totals, right)
+        answers = keep(now.where("kind = 1").drop("kind").groupBy("reducer").applyInArrow(lambda table: add(table, totals, k), RESPONSE), "answers")  # noqa: B023  run at once
+        found = sums(answers, "customers, tables, n, vocabulary, one0, two0")
+        discounts = totals.discounts if k else (discount(found["one0"], found["two0"]), discount(counted["one1"], counted["two1"]), discount(counted["one2"], counted["two2"]))
+        totals = Totals(found["customers"], found["tables"], found["n"], found["vocabulary"], discounts)
+        right = now.where("kind = 0").unionByName(answers.where("bucket IS NOT NULL").select(F.lit(1).alias("kind"), "bucket", "reducer", "payload")).withColumn("round", F.lit(k))
+        if k > burn_in or k == n_rounds:
+            averaged[k], before[k] = totals, right
+        elif k > 0:  # nothing reads the round before this one any more
+            discard(spark, *work[:-2])
+            del work[:-2]
+    kept = next(iter(before.values()))
+    for k in list(before)[1:]:
+        kept = kept.unionByName(before[k])
+    parts = model.select("bucket", "model").groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(lambda left, right: score_bucket(left, right, averaged, shared.value), PARTS)
+    scores = staged(parts.groupBy("block").applyInArrow(lambda table: add_up(table, totals.n), SCORES), "scores")
+    spark.sql(f"DROP TABLE IF EXISTS {name_}")
+    discard(spark, place, *work)
+    return scores
 
 
 def op3_lm_scoring(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents with its scores; see `score_documents`."""
     return score_documents(documents(spark, sf_dir))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Kept, alone, documents, staged, width
+from .common import Kept, alone, characters, documents, staged, width
 
 WINDOW = 20
 CHAIN, ROUNDS = 3, 4
@@ -466,8 +466,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stand in an order that depends on their texts alone, and of equal rows the first stays. Null and
     empty texts have no words. An empty table gives an empty one.
     """
-    size = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
-    groups = max(width(docs.sparkSession), -(-size // GROUP_CHARS))
+    groups = max(width(docs.sparkSession), -(-characters(docs, text_col) // GROUP_CHARS))
     n_buckets = groups
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
