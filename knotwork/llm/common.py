@@ -8,9 +8,11 @@ import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +74,53 @@ def shuffles_freed(spark: SparkSession):
         spark.conf.set(FREED, before)
 
 
-def staged(frame: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write the frame to the shared folder and read it back: it is computed once, and its lineage ends there."""
+def staged(frame: DataFrame, name: str, path: str | None = None, compression: str = "snappy", *parts: str) -> DataFrame:
+    """Write the frame to the shared folder and read it back: it is computed once, and its lineage ends there.
+
+    parts: columns that get a folder a value, which can be discarded alone.
+    """
     spark = frame.sparkSession
     path = path or new_path(spark, name)
     with shuffles_freed(spark):
-        frame.write.parquet(path)
+        frame.write.option("compression", compression).partitionBy(*parts).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(words: list[bytes], digest: Callable, size: int) -> np.ndarray:
+    """The digest of each word, `size` little-endian 64-bit numbers a word. Each distinct word is digested once."""
+    distinct = dict.fromkeys(words)
+    names = np.frombuffer(b"".join(map(digest, distinct)), "<u8").reshape(-1, size)
+    place = dict(zip(distinct, range(len(distinct)), strict=True))
+    return names[np.fromiter(map(place.__getitem__, words), np.int64, len(words))]
+
+
+def ascii_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts, how many each has): what stands between spaces, tabs, line feeds and the like, without passing through Python objects."""
+    split = pc.ascii_split_whitespace(texts)
+    words = split.flatten()
+    there = pc.greater(pc.binary_length(words), 0)
+    ends = np.concatenate(([0], np.cumsum(there.to_numpy(zero_copy_only=False))))
+    offsets = split.offsets.to_numpy()
+    return words.filter(there), np.diff(ends[offsets - offsets[0]])
+
+
+def word_digests(words: pa.Array, digest: Callable, size: int) -> np.ndarray:
+    """As `numbered`, of Arrow words."""
+    coded = words.dictionary_encode()
+    names = np.frombuffer(b"".join(map(digest, coded.dictionary.cast(pa.binary()).to_pylist())), "<u8").reshape(-1, size)
+    return names[coded.indices.to_numpy()]
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of whole rows whose strings in a column have about `size` bytes, or one longer one."""
+    sizes = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def characters(docs: DataFrame, text_col: str = "text") -> int:
     return docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
 

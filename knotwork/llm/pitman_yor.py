@@ -28,33 +28,35 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Kept, alone, characters, discard, documents, labels, new_path, remainder, shuffles_freed, staged, texts_of, width
+from .common import alone, ascii_words, characters, discard, documents, labels, new_path, remainder, shuffles_freed, slices, staged, texts_of, width, word_digests
 from .stirling import Stirling, drawn
 
 #: Rounds of seating; the first rounds, which are not averaged.
 ROUNDS, BURN_IN = 3, 1
 #: Strengths of the shared restaurant, of those of one word and of those of two.
 STRENGTHS = (10.0, 2.0, 1.0)
-#: Tokens that a task packs at once, and documents among them at most.
-BLOCK_TOKENS, BLOCK_DOCS = 700_000, 30_000
-#: Characters of text that a bucket has on average at most.
-BUCKET_CHARS = 16_000_000
+#: Bytes of text that a task packs at once; a batch has 10,000 documents at most. Bytes of a piece of a bucket's row.
+BLOCK_BYTES, PIECE = 2_500_000, 250_000
+#: Characters of text that a bucket has on average at most. Tokens are dealt in so many waves, each to its share of the buckets.
+BUCKET_CHARS, WAVES = 16_000_000, 3
 #: A word's restaurants are spread if it is more than this share of an average bucket. One document in so many is looked at.
 SPREAD, LOOKED_AT = 0.25, 8
 END = b"\n"  # no word holds it
 GOLDEN = 0x9E3779B97F4A7C15
 
 
-def name(word: bytes) -> bytes:
-    return xxhash.xxh64_intdigest(word).to_bytes(8, "little")
+def names_of(words: list[bytes]) -> np.ndarray:
+    """64-bit names."""
+    return word_digests(pa.array(words, pa.binary()), xxhash.xxh64_digest, 1)[:, 0]
 
 
-END_NAME = np.frombuffer(name(END), "<u8")[0]
+END_NAME = names_of([END])[0]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -98,6 +100,11 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+def near(x: np.ndarray) -> np.ndarray:
+    """The first 16 bits by which words are sorted: whatever is sorted goes by them, so that places in one order are nearly in order in another."""
+    return mixed(x) & np.uint64(0xFFFF)
+
+
 def five(x: np.ndarray) -> bytes:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
@@ -122,39 +129,25 @@ class Tokens:
     before: np.ndarray
     farther: np.ndarray
     owner: np.ndarray
-    ids: list
+    ids: pa.Array
     held_out: np.ndarray
 
 
 def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
     """From batches of (doc_id, held_out, text)."""
-    words: list[bytes] = []
-    lengths: list[int] = []
-    ids: list = []
-    held: list[bool] = []
-    known = alone("token names", lambda: Kept(name, 100_000))
-
-    def made() -> Tokens:
-        names = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u8")
-        before = np.concatenate(([END_NAME], names[:-1]))
-        farther = np.concatenate(([END_NAME], before[:-1]))
-        starts = np.cumsum([0, *lengths[:-1]])
-        farther[starts] = END_NAME
-        return Tokens(names, before, farther >> np.uint64(24), np.repeat(np.arange(len(lengths)), lengths), list(ids), np.asarray(held))
-
+    alone("tokens", dict)
     for batch in batches:
-        for i, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            own = text.encode().lower().split()
-            words += own
-            words.append(END)
-            lengths.append(len(own) + 1)
-            ids.append(i)
-            held.append(bool(h))
-            if len(words) >= BLOCK_TOKENS or len(lengths) >= BLOCK_DOCS:
-                yield made()
-                words, lengths, ids, held = [], [], [], []
-    if lengths:
-        yield made()
+        for some in slices(batch, 2, BLOCK_BYTES):
+            words, lengths = ascii_words(pc.ascii_lower(some.column(2)))
+            ends = np.cumsum(lengths + 1)  # an end after each text
+            names = np.full(ends[-1], END_NAME)
+            inside = np.ones(len(names), bool)
+            inside[ends - 1] = False
+            names[inside] = word_digests(words, xxhash.xxh64_digest, 1)[:, 0]
+            before = np.concatenate(([END_NAME], names[:-1]))
+            farther = np.concatenate(([END_NAME], before[:-1]))
+            farther[ends - lengths - 1] = END_NAME
+            yield Tokens(names, before, farther >> np.uint64(24), np.repeat(np.arange(len(lengths)), lengths + 1), some.column(0), some.column(1).to_numpy(zero_copy_only=False))
 
 
 def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -205,20 +198,23 @@ def frequent(rows: DataFrame, share: float) -> np.ndarray:
 SENT = "bucket int, block long, before binary, before_runs binary, names binary, name_runs binary, farther binary, token_runs binary, owners binary, head binary"
 
 
-def send(batches: Iterator[pa.RecordBatch], dealt: Dealt) -> Iterator[pa.RecordBatch]:
-    """All tokens by bucket: distinct words before, what follows each, the distinct words farther back of each of those, and the documents of each.
+def send(batches: Iterator[pa.RecordBatch], dealt: Dealt, wave: int, waves: int) -> Iterator[pa.RecordBatch]:
+    """All tokens of a wave's buckets, by bucket: distinct words before, what follows each, the distinct words farther back of each of those, and the documents of each.
 
-    An owner's low bit says whether it is held out; what add_up needs of a block's documents goes with its first row.
+    An owner's low bit says whether it is held out; what add_up needs of a block's documents goes with the block's first row in the first wave that has one.
     """
     part = TaskContext.get().partitionId()
     for k, t in enumerate(tokens(batches)):
         place = dealt.place(t.before, t.names)
-        # equal entries come together: hashes of the parts in this order, so that what is within a part is near too
+        mine = np.flatnonzero(place * waves // len(dealt.labels) == wave)
+        carries = len(mine) and wave == int((place * waves // len(dealt.labels)).min())
+        place, before, names, farther, owner = place[mine], t.before[mine], t.names[mine], t.farther[mine], t.owner[mine]
+        # equal entries come together
         key = place.astype(np.uint64) << np.uint64(48)
-        for shift, x in ((32, t.before), (16, t.names), (0, t.farther)):
-            key |= (mixed(x) & np.uint64(0xFFFF)) << np.uint64(shift)
+        for shift, x in ((32, before), (16, names), (0, farther)):
+            key |= near(x) << np.uint64(shift)
         order = np.argsort(key, kind="stable")
-        place, before, names, farther, owner = place[order], t.before[order], t.names[order], t.farther[order], t.owner[order]
+        place, before, names, farther, owner = place[order], before[order], names[order], farther[order], owner[order]
         first = heads(place)
         new_before = first | heads(before)
         new_name = new_before | heads(names)
@@ -229,19 +225,19 @@ def send(batches: Iterator[pa.RecordBatch], dealt: Dealt) -> Iterator[pa.RecordB
         for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             b, n, e = new_before[i:j], new_name[i:j], new_entry[i:j]
             head = None
-            if not i:
-                ids = pa.array(t.ids, pa.int64())
-                head = pickle.dumps((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), np.bincount(t.owner, minlength=len(t.ids)), t.held_out), 5)
+            if not i and carries:
+                head = pickle.dumps((t.ids.fill_null(0).to_numpy(), t.ids.is_null().to_numpy(zero_copy_only=False), np.bincount(t.owner, minlength=len(t.ids)), t.held_out), 5)
             rows.append((int(dealt.labels[place[i]]), part << 32 | k, before[i:j][b].tobytes(), packed(runs(b[n])), names[i:j][n].tobytes(), packed(runs(n[e])), five(farther[i:j][e]), packed(runs(e)), owners[i:j].tobytes(), head))
-        yield batch_of(rows, SENT)
+        if rows:
+            yield batch_of(rows, SENT)
 
 
 COUNTS = "n long, one1 long, two1 long, one2 long, two2 long"
-MODEL = "bucket int, model binary, " + COUNTS
+MODEL = "bucket int, piece int, model binary, " + COUNTS
 
 
 def merge(table: pa.Table, dealt: Dealt) -> pa.Table:
-    """One row for a bucket: its restaurants and tokens, pickled."""
+    """A bucket's restaurants and tokens, pickled, in rows of PIECE bytes; the first one has the counts."""
     parts: list[list[np.ndarray]] = [[], [], [], [], []]
     for b, br, n, nr, x, er, o in zip(*(table[c].to_pylist() for c in ("before", "before_runs", "names", "name_runs", "farther", "token_runs", "owners")), strict=True):
         name_runs = unpacked(nr)
@@ -252,23 +248,26 @@ def merge(table: pa.Table, dealt: Dealt) -> pa.Table:
         parts[4].append(np.frombuffer(o, "<u2"))
     sizes = [len(x) for x in parts[4]]
     before, names, farther, n, owners = map(np.concatenate, parts)
-    pair = joined(before, names)
-    order = np.lexsort((farther, pair))
+    del parts
+    pair = near(before) << np.uint64(48) | near(names) << np.uint64(32) | joined(before, names) >> np.uint64(32)
+    order = np.lexsort((near(farther) << np.uint64(40) | farther, pair))
     pair, farther = pair[order], farther[order]
     new_pair = heads(pair)
     new = new_pair | heads(farther)
     triple = np.empty(len(order), np.int32)
     triple[order] = np.cumsum(new) - 1
     token = np.repeat(triple, n)
-    m = {"token": token, "owners": owners, "blocks": table["block"].to_pylist(), "sizes": sizes, "heads": table["head"].to_pylist()}
+    m = {"entries": closer(triple), "runs": packed(n), "owners": owners, "blocks": table["block"].to_pylist(), "sizes": sizes, "heads": table["head"].to_pylist()}
     counts = np.bincount(token[(owners & 1) == 0], minlength=int(new.sum()))
-    of_pair = (np.cumsum(new_pair) - 1)[new].astype(np.int32)
+    of_pair = (np.cumsum(new_pair) - 1)[new]
     first = order[new_pair]
     m["words"], pair_word = np.unique(names[first], return_inverse=True)
-    contexts, pair_context = np.unique(before[first], return_inverse=True)
-    doubles, triple_double = np.unique(joined(contexts[pair_context][of_pair], farther[new]), return_inverse=True)
-    m["counts"], m["pair"], m["double"] = counts, of_pair, triple_double.astype(np.int32)
-    m["pair_word"], m["pair_context"] = pair_word.astype(np.int32), pair_context.astype(np.int32)
+    _, contexts, pair_context = np.unique(near(before[first]) << np.uint64(48) | before[first] >> np.uint64(16), return_index=True, return_inverse=True)
+    contexts = before[first][contexts]
+    context = contexts[pair_context][of_pair]
+    doubles, triple_double = np.unique(near(context) << np.uint64(48) | joined(context, farther[new]) >> np.uint64(16), return_inverse=True)
+    m["counts"], m["pair"], m["double"] = packed(counts), packed(np.diff(of_pair, prepend=0)), closer(triple_double)
+    m["pair_word"], m["pair_context"] = pair_word.astype(np.int32), closer(pair_context)
     # what is shared with other buckets: contexts that are spread, and the pairs of words that end in one
     shared = member(contexts, dealt.spread)
     m["n_contexts"], m["n_doubles"] = len(contexts), len(doubles)
@@ -279,8 +278,27 @@ def merge(table: pa.Table, dealt: Dealt) -> pa.Table:
     m["again"], m["pair_again"] = np.flatnonzero(counts > 1), np.flatnonzero(total > 1)
     m["keys"], m["pair_keys"] = joined(pair[new], farther[new])[m["again"]], pair[new_pair][m["pair_again"]]
     customers = np.bincount(of_pair, np.minimum(counts, 1), len(pair_word))
-    row = (table["bucket"][0].as_py(), pickle.dumps(m, 5), int(counts.sum()), int((customers == 1).sum()), int((customers == 2).sum()), int((counts == 1).sum()), int((counts == 2).sum()))
-    return table_of([row], MODEL)
+    found = (int(counts.sum()), int((customers == 1).sum()), int((customers == 2).sum()), int((counts == 1).sum()), int((counts == 2).sum()))
+    data = pickle.dumps(m, 5)
+    bucket = table["bucket"][0].as_py()
+    return table_of([(bucket, k, data[at : at + PIECE], *(found if not k else (0,) * 5)) for k, at in enumerate(range(0, len(data), PIECE))], MODEL)
+
+
+def closer(places: np.ndarray) -> np.ndarray:
+    """Steps between places that are nearly in order: small numbers, that files compress."""
+    return np.diff(places, prepend=0).astype(np.int32)
+
+
+def loaded(rows: pa.Table, with_tokens: bool = False) -> dict:
+    """A bucket's restaurants from its rows, with their places summed up again."""
+    m = pickle.loads(b"".join(x for _, x in sorted(zip(rows["piece"].to_pylist(), rows["model"].to_pylist(), strict=True))))
+    for k in ("double", "pair_context"):
+        m[k] = np.cumsum(m[k], dtype=np.int32)
+    m["counts"] = unpacked(m["counts"])
+    m["pair"] = np.cumsum(unpacked(m["pair"]), dtype=np.int32)
+    if with_tokens:
+        m["token"] = np.repeat(np.cumsum(m["entries"], dtype=np.int32), unpacked(m["runs"]))
+    return m
 
 
 @dataclass(frozen=True)
@@ -465,7 +483,7 @@ def score_bucket(left: pa.Table, right: pa.Table, totals: dict[int, Totals], dea
     """A row for each block: sums over its documents' tokens in this bucket."""
     if not left.num_rows:
         return table_of([], PARTS)
-    m = pickle.loads(left["model"][0].as_py())
+    m = loaded(left, with_tokens=True)
     p = np.zeros(len(m["counts"]))
     for k, t in totals.items():
         seats = Seats(m, t, *arrived(right, k), dealt)
@@ -495,9 +513,9 @@ def add_up(table: pa.Table, n: int) -> pa.Table:
 
 
 def buckets(spark: SparkSession, size: int) -> int:
-    """A multiple of a shuffle's parts, so that each part has as many; two of them at least. 100,000 is the most that Spark's tables take."""
+    """A multiple of a shuffle's parts, so that each part has as many. 100,000 is the most that Spark's tables take."""
     parts = width(spark)
-    return parts * max(1, min(max(2, -(-size // (BUCKET_CHARS * parts))), 100_000 // parts))
+    return parts * max(1, min(-(-size // (BUCKET_CHARS * parts)), 100_000 // parts))
 
 
 def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN_IN) -> DataFrame:
@@ -512,48 +530,48 @@ def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN
     n_buckets = buckets(spark, characters(docs))
     dealt = Dealt(np.asarray(labels(spark, n_buckets)), frequent(rows, SPREAD / n_buckets))
     shared = spark.sparkContext.broadcast(dealt)
-    sent = rows.mapInArrow(lambda batches: send(batches, shared.value), SENT)
-    # a table in buckets: its rows meet those of a round without being moved again
+    # a table in buckets: its rows meet those of a round without being moved again. Waves keep what is on its way small
     name_, place, work = f"knotwork_{uuid.uuid4().hex}", new_path(spark, "model"), []
-    with shuffles_freed(spark):
-        sent.groupBy("bucket").applyInArrow(lambda table: merge(table, shared.value), MODEL).write.bucketBy(n_buckets, "bucket").option("path", place).saveAsTable(name_)
+    for wave in range(WAVES):
+        sent = rows.mapInArrow(lambda batches: send(batches, shared.value, wave, WAVES), SENT)  # noqa: B023  run at once
+        with shuffles_freed(spark):
+            sent.groupBy("bucket").applyInArrow(lambda table: merge(table, shared.value), MODEL).write.bucketBy(n_buckets, "bucket").option("path", place).option("compression", "zstd").saveAsTable(name_, mode="append")
     model = spark.table(name_)
-    counted = sums(model, COUNTS)
+    counted, whole = sums(model, COUNTS), model.select("bucket", "piece", "model")
 
-    def keep(frame: DataFrame, what: str) -> DataFrame:
+    def keep(frame: DataFrame, what: str, *parts: str) -> DataFrame:
         work.append(new_path(spark, what))
-        return staged(frame, what, work[-1])
+        return staged(frame, what, work[-1], "zstd", *parts)
 
     def step(k: int, totals: Totals, right: DataFrame | None) -> DataFrame:
         if right is None:
 
-            def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                        yield batch_of(Seats(pickle.loads(data), totals, None, [], shared.value).messages(bucket, shared.value), STEP)
+            def first(table: pa.Table) -> pa.Table:
+                return table_of(Seats(loaded(table), totals, None, [], shared.value).messages(table["bucket"][0].as_py(), shared.value), STEP)
 
-            return keep(model.select("bucket", "model").mapInArrow(first, STEP), "step")
+            return keep(whole.groupBy("bucket").applyInArrow(first, STEP), "step", "kind")
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows:
                 return table_of([], STEP)
-            bucket, m = left["bucket"][0].as_py(), pickle.loads(left["model"][0].as_py())
+            bucket, m = left["bucket"][0].as_py(), loaded(left)
             before = Seats(m, totals, *arrived(right, k - 1), shared.value)
             state = before.reseated(k)
             after = Seats(m, totals, state, [], shared.value)
             after.word_counts, after.word_tables = before.word_counts, before.word_tables
             return table_of([(0, bucket, -1, state), *after.messages(bucket, shared.value)], STEP)
 
-        return keep(model.select("bucket", "model").groupBy("bucket").cogroup(right.groupBy("bucket")).applyInArrow(run, STEP), "step")
+        return keep(whole.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInArrow(run, STEP), "step", "kind")
 
     totals, averaged, right, before = Totals(), {}, None, {}
     for k in range(n_rounds + 1):
         now = step(k, totals, right)
         answers = keep(now.where("kind = 1").drop("kind").groupBy("reducer").applyInArrow(lambda table: add(table, totals, k), RESPONSE), "answers")  # noqa: B023  run at once
+        discard(spark, f"{work[-2]}/kind=1")
         found = sums(answers, "customers, tables, n, vocabulary, one0, two0")
         discounts = totals.discounts if k else (discount(found["one0"], found["two0"]), discount(counted["one1"], counted["two1"]), discount(counted["one2"], counted["two2"]))
         totals = Totals(found["customers"], found["tables"], found["n"], found["vocabulary"], discounts)
-        right = now.where("kind = 0").unionByName(answers.where("bucket IS NOT NULL").select(F.lit(1).alias("kind"), "bucket", "reducer", "payload")).withColumn("round", F.lit(k))
+        right = now.where("kind = 0").select("kind", "bucket", "reducer", "payload").unionByName(answers.where("bucket IS NOT NULL").select(F.lit(1).alias("kind"), "bucket", "reducer", "payload")).withColumn("round", F.lit(k))
         if k > burn_in or k == n_rounds:
             averaged[k], before[k] = totals, right
         elif k > 0:  # nothing reads the round before this one any more
@@ -562,7 +580,7 @@ def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN
     kept = next(iter(before.values()))
     for k in list(before)[1:]:
         kept = kept.unionByName(before[k])
-    parts = model.select("bucket", "model").groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(lambda left, right: score_bucket(left, right, averaged, shared.value), PARTS)
+    parts = whole.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(lambda left, right: score_bucket(left, right, averaged, shared.value), PARTS)
     scores = staged(parts.groupBy("block").applyInArrow(lambda table: add_up(table, totals.n), SCORES), "scores")
     spark.sql(f"DROP TABLE IF EXISTS {name_}")
     discard(spark, place, *work)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Kept, alone, characters, documents, staged, width
+from .common import alone, characters, documents, numbered, staged, width
 
 WINDOW = 20
 CHAIN, ROUNDS = 3, 4
@@ -63,16 +63,12 @@ def joined(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     return mixed(mixed(a + salted(salt)) * np.uint64(3) + b)
 
 
-class WordNames:
+def word_names(words: list[bytes]) -> np.ndarray:
     """128-bit names of words, as two 64-bit numbers."""
+    import xxhash
 
-    def __init__(self) -> None:
-        import xxhash
-
-        self.names = Kept(xxhash.xxh128_digest, 100_000)
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.names.__getitem__, words)), "<u8").reshape(-1, 2)
+    alone("words", dict)
+    return numbered(words, xxhash.xxh128_digest, 2)
 
 
 @dataclass
@@ -266,7 +262,7 @@ def bucket(x: np.ndarray, n: int) -> np.ndarray:
     return ((x >> np.uint64(47)) % np.uint64(n)).astype(np.int64)
 
 
-def chain_blocks(batches: Iterator[pa.RecordBatch], namer: WordNames, n_buckets: int) -> Iterator[pa.RecordBatch]:
+def chain_blocks(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
     """(bucket, g, names) from batches of (g, text): each group's tested chains, once a task, with a low bit if met twice."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -289,7 +285,7 @@ def chain_blocks(batches: Iterator[pa.RecordBatch], namer: WordNames, n_buckets:
         for block in blocks(batch.column(1).to_pylist()):
             if len(block.words) < WINDOW:
                 continue
-            p = parse(namer(block.words), windows=False)
+            p = parse(word_names(block.words), windows=False)
             chosen = p.chains % np.uint64(TESTED) == 0
             if chosen.any():
                 held.append((p.chains[chosen], groups[block.number + block.owners()[p.at[chosen]]]))
@@ -348,14 +344,14 @@ def unpacked(table: pa.Table) -> pa.Table | None:
     return rows.take(pa.array(sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i])), pa.int64()))
 
 
-def windows_of(rows: pa.Table, shared: np.ndarray, namer: WordNames, n_buckets: int, g: int) -> pa.Table:
+def windows_of(rows: pa.Table, shared: np.ndarray, n_buckets: int, g: int) -> pa.Table:
     """(bucket, g, hashes, ids, runs, starts): the group's proposed windows, once each, at their first place."""
     found: list[tuple[np.ndarray, ...]] = []
     ids = rows["_id"].fill_null(-(1 << 63)).to_numpy()
     for block in blocks(rows["_text"].to_pylist()):
         if len(block.words) < WINDOW:
             continue
-        names = namer(block.words)
+        names = word_names(block.words)
         p = parse(names, rounds=ROUNDS)
         alone = (p.chains % np.uint64(TESTED) == 0) & ~member(p.chains & LOW, shared)
         before = np.concatenate(([0], np.cumsum(alone)))
@@ -422,7 +418,7 @@ def places(h: np.ndarray, checks: np.ndarray, names: np.ndarray, later: np.ndarr
     return out
 
 
-def without_repeats(rows: pa.Table, names: np.ndarray, later: np.ndarray, namer: WordNames) -> tuple[list[int], list[int], list[str | None]]:
+def without_repeats(rows: pa.Table, names: np.ndarray, later: np.ndarray) -> tuple[list[int], list[int], list[str | None]]:
     """For each row: its words, how many of them go, and the rest joined by spaces. names and later: see `repeated_windows`, sorted."""
     n_words, n_removed, kept = [], [], []
     seen = np.zeros(len(later), bool)
@@ -431,7 +427,7 @@ def without_repeats(rows: pa.Table, names: np.ndarray, later: np.ndarray, namer:
         n = len(block.words)
         cover = np.zeros(n + 1, np.int64)
         if n >= WINDOW and len(names):
-            own = namer(block.words)
+            own = word_names(block.words)
             at = np.flatnonzero(block.inside(n - WINDOW + 1))
             found = places(sequences(levels(own, ROUNDS), at), window_checks(own, at), names, later)
             at, found = at[found >= 0], found[found >= 0]
@@ -470,13 +466,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_buckets = groups
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from chain_blocks(batches, word_names(), n_buckets)
+        yield from chain_blocks(batches, n_buckets)
 
     def propose(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows = unpacked(left)
         if rows is None:
-            return windows_of(pa.table({"_id": pa.array([], pa.int64()), "_text": pa.array([], pa.string())}), np.zeros(0, np.uint64), word_names(), n_buckets, 0)
-        return windows_of(rows, together(right, "names"), word_names(), n_buckets, key[0].as_py())
+            return windows_of(pa.table({"_id": pa.array([], pa.int64()), "_text": pa.array([], pa.string())}), np.zeros(0, np.uint64), n_buckets, 0)
+        return windows_of(rows, together(right, "names"), n_buckets, key[0].as_py())
 
     def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows = unpacked(left)
@@ -485,7 +481,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         later = np.concatenate([np.frombuffer(x, "<u2") for x in right["later"].to_pylist()] or [np.zeros(0, "<u2")])
         names = np.concatenate([np.frombuffer(x, "<u8") for x in right["names"].to_pylist()] or [np.zeros(0, np.uint64)])
         order = np.lexsort((later, names))
-        n_words, n_removed, kept = without_repeats(rows, names[order], later[order], word_names())
+        n_words, n_removed, kept = without_repeats(rows, names[order], later[order])
         columns = [rows["_id"].combine_chunks(), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in kept], pa.string())]
         if keep:
             # a text of which nothing goes stays as it is, white space included
@@ -516,10 +512,6 @@ def together(table: pa.Table, name: str) -> np.ndarray:
     return np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in table[name].to_pylist()] or [np.zeros(0, np.uint64)]))
 
 
-def word_names() -> WordNames:
-    return alone("word names", WordNames)
-
-
 def without_repeated_passages(docs: DataFrame) -> DataFrame:
     """docs, same columns, with the words of repeated passages gone from `text`; a null text becomes an empty one."""
     rest = tuple(c for c in docs.columns if c != "text")

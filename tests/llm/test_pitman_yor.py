@@ -51,8 +51,8 @@ def seats_of(texts, n_rounds, monkeypatch, spread=()):
     monkeypatch.setattr(py, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
     dealt = py.Dealt(np.asarray([0]), np.sort(np.asarray(spread, np.uint64)))
     batch = pa.record_batch([pa.array(range(len(texts))), pa.array([h for h, _ in texts]), pa.array([t for _, t in texts])], ["doc_id", "held_out", "text"])
-    merged = py.merge(pa.Table.from_batches(py.send(iter([batch]), dealt)), dealt)
-    m = py.pickle.loads(merged["model"][0].as_py())
+    merged = py.merge(pa.Table.from_batches(py.send(iter([batch]), dealt, 0, 1)), dealt)
+    m = py.loaded(merged)
     totals, state, shared = py.Totals(), None, []
     for k in range(n_rounds + 1):
         if k:
@@ -74,7 +74,7 @@ def test_chances_after_a_context_sum_to_one(monkeypatch, spread):
     words, rows = corpus()
     tried = [("w1", "w3"), ("w3", "w17"), ("new", "w1"), ("new", "newer")]
     held_texts = [" ".join(f"{a} {b} {w}" for w in [*words, "unknown"]) for a, b in tried] + [f"{a} {b}" for a, b in tried]
-    name = lambda w: np.frombuffer(py.name(w.encode()), "<u8")
+    name = lambda w: py.names_of([w.encode()])
     m, seats = seats_of([(False, t) for _, t in rows] + [(True, t) for t in held_texts], 3, monkeypatch, [int(name(w)[0]) for w in spread])
     assert seats.totals.n == 120 * 31 and seats.totals.vocabulary == 41
     p, word = seats.chances(), m["words"][m["pair_word"][m["pair"]]]

@@ -98,7 +98,7 @@ def test_sequences_name_windows(size):
 
 def test_nothing_is_found_without_the_rounds(monkeypatch):
     """If rounds named symbols by their places too, no window would equal its copy."""
-    names = substrings.WordNames()([b"w%d" % i for i in range(40)])
+    names = substrings.word_names([b"w%d" % i for i in range(40)])
     at = np.arange(21)
     monkeypatch.setattr(substrings, "recompress", lambda below, salt, real=substrings.recompress: real(below + np.arange(len(below), dtype=np.uint64), salt))
     twice = np.concatenate((names, names))
@@ -108,7 +108,7 @@ def test_nothing_is_found_without_the_rounds(monkeypatch):
 
 def test_checks_do_not_depend_on_place():
     words = [b"a", b"b", b"c", b"d", b"e"] * 30
-    names = substrings.WordNames()(words)
+    names = substrings.word_names(words)
     checks = substrings.window_checks(names, np.arange(100))
     assert len(set(checks.tolist())) == 5 and (checks[:5] == checks[95:]).all()
 
