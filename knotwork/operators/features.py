@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .retrieve import jaccard
 
+# The features' names and their order.
 NAME = [
     "name_exact_match", "name_token_jaccard", "name_token_overlap_count", "name_token_overlap_ratio", "name_char3_jaccard",
     "name_char4_jaccard", "name_seq_sim", "name_len_diff", "name_len_ratio", "name_token_count_diff",

@@ -35,8 +35,8 @@ def label(pairs: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def in_training(q: Column, share: int = 80, seed: int = 42) -> Column:
-    """Whether a query's pairs are for training: all pairs of a query fall on the same side."""
-    return F.pmod(F.xxhash64(q, F.lit(seed)), F.lit(100)) < share
+    """Whether a query's pairs are for training: all pairs of a query fall on the same side, by a hash of it."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", q, F.lit(str(seed)))), 1, 8), 16, 10).cast("long") % 100 < share
 
 
 def balanced(labelled: DataFrame) -> DataFrame:

@@ -58,16 +58,17 @@ def threshold_sweep(queries: DataFrame, truth: DataFrame, scored: DataFrame, sco
     Each pair counts for the thresholds up to its score, so pairs are tallied by query and step
     first and summed over steps then; queries without a pair or truth are counted, not joined.
     """
-    spark = queries.sparkSession
     t = truth.select("q", "id").distinct().withColumn("_t", F.lit(1))
     reached = F.size(F.filter(F.array(*map(F.lit, taus)), lambda x: x <= F.col(score)))
     pairs = scored.groupBy("q", "id").agg(F.max(score).alias(score)).join(t, ["q", "id"], "left").select("q", reached.alias("step"), F.coalesce("_t", F.lit(0)).alias("hit"))
     tally = pairs.groupBy("q", "step").agg(F.count("*").alias("n"), F.sum("hit").alias("h"))
     true = t.groupBy("q").agg(F.count("*").alias("n_true"))
-    grid = spark.createDataFrame([(i + 1, x) for i, x in enumerate(taus)], "at int, tau double")
     active = tally.select("q").unionByName(true.select("q")).distinct().join(queries.select("q").distinct(), "q", "left_semi").join(true, "q", "left")
-    each = active.join(F.broadcast(grid)).join(tally.withColumnRenamed("q", "tq"), (F.col("q") == F.col("tq")) & (F.col("step") >= F.col("at")), "left")
-    each = each.groupBy("q", "at", "tau").agg(F.coalesce(F.first("n_true"), F.lit(0)).alias("n_true"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_pred"), F.coalesce(F.sum("h"), F.lit(0)).alias("n_hit"))
+    gathered = tally.groupBy("q").agg(F.collect_list(F.struct("step", "n", "h")).alias("steps"))  # a step a threshold at most
+    grid = F.array(*[F.struct(F.lit(i + 1).alias("at"), F.lit(x).alias("tau")) for i, x in enumerate(taus)])
+    each = active.join(gathered, "q", "left").select("q", "n_true", "steps", F.explode(grid).alias("g"))
+    upward = lambda part: F.aggregate(F.filter(F.coalesce("steps", F.expr("cast(array() as array<struct<step:int,n:bigint,h:bigint>>)")), lambda x: x["step"] >= F.col("g.at")), F.lit(0).cast("long"), lambda s, x: s + x[part])
+    each = each.select("q", F.col("g.tau").alias("tau"), F.coalesce("n_true", F.lit(0)).alias("n_true"), upward("n").alias("n_pred"), upward("h").alias("n_hit"))
     *_, f = _prf(F.col("n_true"), F.col("n_pred"), F.col("n_hit"))
     idle = queries.select("q").distinct().agg(F.count("*").alias("all"))
     sums = each.groupBy("tau").agg(F.sum(f).alias("s"), F.count("*").alias("m"))

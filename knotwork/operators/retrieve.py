@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .index import FALL, exact_postings, postings, weight
 
+#: The sources that are searched.
+SOURCES = ("S2", "S3")
 #: Kind of term -> how many of the rarest terms a query falls back to.
 FALLBACK = {"tokens": 2, "char3": 4, "char4": 4}
 OUT = ["q", "src", "id", "ord", "score", "rank"]
@@ -25,14 +27,23 @@ def _ranked(scored: DataFrame, k: int | None) -> DataFrame:
     return (out if k is None else out.where(F.col("rank") <= k)).select(*OUT)
 
 
-def exact(queries: DataFrame, targets: DataFrame) -> DataFrame:
-    """Records of the same normal name in the query's country, or, where it has none, anywhere. Not capped."""
+def exact(queries: DataFrame, targets: DataFrame, k: int | None = None) -> DataFrame:
+    """Records of the same normal name in the query's country, or, where it has none, anywhere; the first k of each source.
+
+    Only a name's first k records of a country, and of all countries, can be among a query's first k,
+    so others are dropped before queries meet them: a chain's name is no full product then. Without k nothing is dropped.
+    """
     names = exact_postings(targets)
     asked = queries.where("norm_name <> ''").select(F.col("id").alias("q"), F.col("country").alias("c"), "norm_name")
-    met = asked.join(names, "norm_name")
-    here = F.max((F.col("c") == F.col("country")) & (F.col("c") != "")).over(Window.partitionBy("q", "src"))
-    kept = met.withColumn("here", here).where(~F.col("here") | (F.col("c") == F.col("country")))
-    return _ranked(kept.withColumn("score", F.lit(1.0)), None)
+    in_country = Window.partitionBy("src", "norm_name", "country").orderBy("ord", "id")
+    anywhere = Window.partitionBy("src", "norm_name").orderBy("ord", "id")
+    first = lambda order: names.select("src", "norm_name", "country", "id", "ord", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k) if k else names
+    columns = [F.col("q"), F.col("src"), F.col("id"), F.col("ord")]
+    here = asked.where("c <> ''").withColumn("country", F.col("c")).join(first(in_country), ["norm_name", "country"]).select(*columns)
+    held = names.where("country <> ''").select("src", "norm_name", F.col("country").alias("c")).distinct()
+    every = asked.withColumn("src", F.explode(F.array(*map(F.lit, SOURCES))))
+    rest = every.join(held, ["src", "norm_name", "c"], "left_anti").join(first(anywhere), ["src", "norm_name"]).select(*columns)
+    return _ranked(here.unionByName(rest).withColumn("score", F.lit(1.0)), k)
 
 
 def _counted(asked: DataFrame, posted: DataFrame) -> DataFrame:
@@ -44,7 +55,7 @@ def _counted(asked: DataFrame, posted: DataFrame) -> DataFrame:
     lists = posted.groupBy("src", "country", "term").agg(F.count("*").alias("n"))
     known = lists.select("src", "country").distinct()
     rest = [c for c in asked.columns if c not in ("q", "country", "term")]
-    every = asked.join(F.broadcast(known.select("src").distinct()))  # a row for each source: two or three
+    every = asked.withColumn("src", F.explode(F.array(*map(F.lit, SOURCES))))
     here = known.withColumn("scope", F.col("country"))
     scoped = every.join(here, ["src", "country"], "left").select("q", "src", "term", *rest, F.coalesce("scope", F.lit("*")).alias("scope"))
     dfs = lists.groupBy("src", "term").agg(F.sum("n").alias("df"), F.collect_set("country").alias("_in"))

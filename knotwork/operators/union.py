@@ -27,6 +27,7 @@ class Strategy:
     k: int = 50
 
 
+#: Which tiers a strategy has, in which order, and the share of the free places that each may fill.
 STRATEGIES = {
     "exact_name": Strategy(()),
     "rare_tokens": Strategy((("tokens", 1.0),), exact=False),
@@ -46,7 +47,7 @@ STRATEGIES = {
 
 def search(queries: DataFrame, targets: DataFrame, tier: str, k: int, cap: int) -> DataFrame:
     if tier == "exact":
-        return retrieve.exact(queries, targets)
+        return retrieve.exact(queries, targets, k)
     if tier == "addr":
         return retrieve.by_address(queries, targets, k, cap)
     if tier == "composite":

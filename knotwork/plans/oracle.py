@@ -6,7 +6,8 @@ from ..functions.text import ADDRESS_STOP, BUSINESS_STOP
 from ..operators.features import ADDRESS, CROSS, FEATURES, NAME
 from ..operators.matching import PREFIXES, RULE
 from ..operators.metrics import TAUS
-from .queries import CAP, RULE_TAU, K
+from ..operators.union import STRATEGIES
+from .queries import CAP, RULE_TAU, SMALL_CAP, SMALL_K, K
 
 
 def words(values) -> str:
@@ -78,26 +79,26 @@ def ranked(p: str, k: int) -> str:
 {p}r AS (SELECT * FROM (SELECT q, src, id, ord, score, row_number() OVER (PARTITION BY q, src ORDER BY score DESC, ord, id) AS rank FROM {p}m) WHERE rank <= {k})"""
 
 
-def by_terms(kind: str, k: int = K, p: str = "", qs: str = "qs", own: str | None = None) -> str:
+def by_terms(kind: str, k: int = K, p: str = "", qs: str = "qs", own: str | None = None, cap: int = CAP) -> str:
     asked = f"SELECT id AS q, country, unnest({own or ASKED[kind]}) AS term FROM {qs}"
     return f"""{postings(kind, p)},
 {counted(p, asked)},
-{p}f AS (SELECT *, max(CASE WHEN df <= {CAP} THEN 1 ELSE 0 END) OVER (PARTITION BY q, src) AS fits, row_number() OVER (PARTITION BY q, src ORDER BY df, term) AS rarity FROM {p}c),
-{p}g AS (SELECT q, src, term, scope, {weight("df", FALL[kind])} AS w FROM {p}f WHERE (fits = 1 AND df <= {CAP}) OR (fits = 0 AND rarity <= {FALLBACK[kind]})),
+{p}f AS (SELECT *, max(CASE WHEN df <= {cap} THEN 1 ELSE 0 END) OVER (PARTITION BY q, src) AS fits, row_number() OVER (PARTITION BY q, src ORDER BY df, term) AS rarity FROM {p}c),
+{p}g AS (SELECT q, src, term, scope, {weight("df", FALL[kind])} AS w FROM {p}f WHERE (fits = 1 AND df <= {cap}) OR (fits = 0 AND rarity <= {FALLBACK[kind]})),
 {ranked(p, k)}"""
 
 
-def by_address(k: int = K, p: str = "", qs: str = "qs", ts: str = "ts") -> str:
+def by_address(k: int = K, p: str = "", qs: str = "qs", ts: str = "ts", cap: int = CAP) -> str:
     asked = f"SELECT id AS q, country, unnest(list_filter(addr_tokens, lambda t: t NOT IN {words(ADDRESS_STOP)})) AS term, 0 AS postal FROM {qs} UNION ALL SELECT id, country, unnest(postal), 1 FROM {qs}"
     return f"""{postings("addr", p, ts)},
 {counted(p, asked, ", x.postal")},
-{p}g AS (SELECT q, src, term, scope, CASE WHEN postal = 1 THEN {weight("df", "0.05e0", "3e0")} ELSE {weight("df", "0.1e0")} END AS w FROM {p}c WHERE postal = 1 OR df <= {CAP}),
+{p}g AS (SELECT q, src, term, scope, CASE WHEN postal = 1 THEN {weight("df", "0.05e0", "3e0")} ELSE {weight("df", "0.1e0")} END AS w FROM {p}c WHERE postal = 1 OR df <= {cap}),
 {ranked(p, k)}"""
 
 
-def exact(p: str = "") -> str:
+def exact(p: str = "", k: int = K) -> str:
     return f"""{p}h AS (SELECT qs.id AS q, ts.src, ts.id, ts.ord, CASE WHEN qs.country <> '' AND qs.country = ts.country THEN 1 ELSE 0 END AS same FROM qs JOIN ts ON qs.norm_name = ts.norm_name WHERE qs.norm_name <> ''),
-{p}r AS (SELECT q, src, id, ord, 1e0 AS score, row_number() OVER (PARTITION BY q, src ORDER BY ord, id) AS rank FROM (SELECT *, max(same) OVER (PARTITION BY q, src) AS here FROM {p}h) WHERE here = 0 OR same = 1)"""
+{p}r AS (SELECT q, src, id, ord, 1e0 AS score, row_number() OVER (PARTITION BY q, src ORDER BY ord, id) AS rank FROM (SELECT *, max(same) OVER (PARTITION BY q, src) AS here FROM {p}h) WHERE here = 0 OR same = 1 QUALIFY rank <= {k})"""
 
 
 SHOW = "SELECT q, src, id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM r"
@@ -128,6 +129,31 @@ u AS (SELECT q, id, min(place) AS place FROM (SELECT * FROM xs UNION ALL SELECT
 n AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY place) AS nth FROM u) {LISTED}"""
 
 
+SHARES = {s: STRATEGIES[s].tiers for s in STRATEGIES}
+
+
+def folded(strategy: str, k: int = K, cap: int = CAP, each: int | None = None, sources: tuple[str, ...] = ("S2", "S3"), halved: bool = True) -> str:
+    """CTEs up to n (q, id, nth): the tiers of a strategy one after the other, exact names first, each filling its share of the places still free."""
+    each = each or k
+    tier = lambda t, p: by_address(each, p, cap=cap) if t == "addr" else by_terms(t, each, p, cap=cap)
+    src = words(sources)
+    out = [exact("x", each), f"u0 AS (SELECT q, id, row_number() OVER (PARTITION BY q ORDER BY src, rank) AS place FROM xr WHERE src IN {src})"]
+    for i, (t, share) in enumerate(SHARES[strategy], 1):
+        quota = f"greatest(1, CAST(floor(free * CAST({share} AS DOUBLE)) AS INTEGER))"
+        out += [
+            tier(t, f"t{i}"),
+            f"f{i} AS (SELECT qs.id AS q, {k} - count(u.id) AS free FROM qs LEFT JOIN u{i - 1} u ON u.q = qs.id GROUP BY qs.id)",
+            f"h{i} AS (SELECT q, free, {f'greatest(1, {quota} // 2)' if halved else quota} AS half FROM f{i} WHERE free > 0)",
+            f"a{i} AS (SELECT r.q, r.id, h.free, min(CASE WHEN r.src = 'S2' THEN 0 ELSE 100000 END + r.rank) AS place FROM t{i}r r JOIN h{i} h ON h.q = r.q LEFT JOIN u{i - 1} u ON u.q = r.q AND u.id = r.id WHERE r.rank <= h.half AND u.id IS NULL AND r.src IN {src} GROUP BY r.q, r.id, h.free)",
+            f"u{i} AS (SELECT q, id, place FROM u{i - 1} UNION ALL SELECT q, id, {i} * 1000000 + place FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY place) AS nth FROM a{i}) WHERE nth <= free)",
+        ]
+    return ", ".join(out) + f", n AS (SELECT q, id, row_number() OVER (PARTITION BY q ORDER BY place) AS nth FROM u{len(SHARES[strategy])})"
+
+
+def union(strategy: str, k: int = K, **more) -> str:
+    return f"WITH {RECORDS}, {folded(strategy, k, **more)} " + LISTED.replace(f"nth <= {K}", f"nth <= {k}")
+
+
 def jac(a: str, b: str) -> str:
     i = f"len(list_intersect({a}, {b}))"
     return f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0e0 ELSE {i} / CAST(len({a}) + len({b}) - {i} AS DOUBLE) END"
@@ -208,6 +234,13 @@ def checked(code: str, keys: str, severity: str = "error") -> str:
     return f"WITH {SPOILED}, two AS (SELECT q, id FROM r WHERE rank <= 2), bad AS ({keys}) SELECT '{severity}' AS severity, '{code}' AS code, count(*) AS count, (SELECT coalesce(string_agg(key, ',' ORDER BY key), '') FROM (SELECT key FROM bad ORDER BY key LIMIT 5)) AS examples FROM bad"
 
 
+def full_link() -> str:
+    """Candidates of the full hybrid, and those whose rule score is high enough, in the candidates' order."""
+    rule = " + ".join(f"CAST({w} AS DOUBLE) * ({feature(n)})" for n, w in RULE.items())
+    lists = ", ".join(f"coalesce((SELECT string_agg(id, ',' ORDER BY nth) FROM s WHERE s.q = qs.id{more}), '') AS {name}" for name, more in (("candidates", ""), ("matches", f" AND p >= {RULE_TAU}")))
+    return f"WITH {RECORDS}, {folded('ablation_E_full_hybrid')}, s AS (SELECT n.q, n.id, n.nth, round({rule}, 9) AS p FROM n JOIN qs x ON x.id = n.q JOIN ts y ON y.id = n.id WHERE n.nth <= {K}) SELECT qs.id AS source1_entity_id, {lists} FROM qs"
+
+
 def oracle_sql() -> dict[str, str]:
     with_e = lambda s: f"WITH {RECORDS} {s}"
     lists = ", ".join(f"{line(c)} AS {c}" for c in ("name_tokens", "addr_tokens", "char3", "char4", "postal", "comb"))
@@ -226,7 +259,7 @@ def oracle_sql() -> dict[str, str]:
         "traversed_postings": f"WITH {RECORDS}, {postings('char3')}, a AS (SELECT q, s.src, term FROM (SELECT id AS q, unnest(char3) AS term FROM qs) x CROSS JOIN (SELECT DISTINCT src FROM p) s) SELECT a.q, count(*) AS terms, CAST(sum(v.df) AS BIGINT) AS postings FROM a JOIN v ON v.src = a.src AND v.term = a.term GROUP BY a.q",
         "block_exact": f"WITH {RECORDS}, {exact()} {SHOW}",
         "block_address": f"WITH {NUMBERED}, {by_address(qs='qn', ts='tn')} {SHOW}",
-        "block_scope_fallback": f"WITH {RECORDS}, mv AS (SELECT * REPLACE (CASE WHEN country = 'EN' AND ord % 2 = 0 THEN 'XX' ELSE country END AS country) FROM qs), {by_terms('char3', qs='mv')} {SHOW}",
+        "block_scope_fallback": f"WITH {RECORDS}, mv AS (SELECT * REPLACE (CASE WHEN country = 'EN' AND ord % 2 = 0 THEN 'XX' ELSE country END AS country) FROM qs), {by_terms('char3', SMALL_K, qs='mv', cap=SMALL_CAP)} {SHOW}",
         "jaccard_rerank": f"WITH {RECORDS}, {by_terms('tokens')}, j AS (SELECT r.q, r.id, r.ord, round({jac('x.name_tokens', 'y.name_tokens')}, 9) AS score FROM r JOIN qs x ON x.id = r.q JOIN ts y ON y.id = r.id) SELECT q, id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, ord, id) AS rank FROM j) WHERE rank <= 5",
         "posting_self_pairs": with_e(", t AS (SELECT id, unnest(name_tokens) AS term FROM ts), ok AS (SELECT term FROM t WHERE length(term) >= 3 GROUP BY term HAVING count(*) BETWEEN 2 AND 49) SELECT DISTINCT a.id AS a, b.id AS b FROM t a JOIN t b ON a.term = b.term AND a.id < b.id WHERE a.term IN (SELECT term FROM ok)").replace("src <> 'S1') ,", "src <> 'S1'),"),
         "union_exact_name": single_tier(exact(), None),
@@ -268,5 +301,13 @@ SELECT * FROM (SELECT count(*) AS true_pairs, CAST(sum(h) AS BIGINT) AS recovere
     out |= {name: f"WITH {RECORDS}, {postings(kind)} SELECT src, term, df, round({weight('df', FALL[kind])}, 9) AS weight FROM v" for name, kind in (("token_df", "tokens"), ("trigram_df", "char3"), ("fourgram_df", "char4"), ("address_df", "addr"))}
     out |= {f"block_{name}": f"WITH {RECORDS}, {by_terms(kind)} {SHOW}" for name, kind in (("tokens", "tokens"), ("trigrams", "char3"), ("fourgrams", "char4"))}
     out |= {f"union_{name}": single_tier(by_terms(kind), K // 2) for name, kind in (("rare_tokens", "tokens"), ("char_3gram", "char3"), ("char_4gram", "char4"))}
+    out |= {f"block_{name}_capped": f"WITH {RECORDS}, {by_terms(kind, SMALL_K, cap=SMALL_CAP)} {SHOW}" for name, kind in (("tokens", "tokens"), ("trigrams", "char3"), ("fourgrams", "char4"))}
+    out["block_address_capped"] = f"WITH {NUMBERED}, {by_address(SMALL_K, qs='qn', ts='tn', cap=SMALL_CAP)} {SHOW}"
+    out |= {f"union_{name}": union(s) for name, s in (("B", "ablation_B_char3"), ("C", "ablation_C_char4"), ("D", "ablation_D_char3_char4"), ("E", "ablation_E_full_hybrid"))}
+    out["union_E_capped"] = union("ablation_E_full_hybrid", SMALL_K, cap=SMALL_CAP)
+    out["union_single"] = union("single_source", sources=("S2",), halved=False)
+    out["tier_merge"] = union("ablation_E_full_hybrid", SMALL_K, each=50)
+    out["full_link"] = full_link()
+    out["entity_split"] = f"WITH {RECORDS} SELECT id AS q, CAST('0x' || substring(md5(id || ':42'), 1, 8) AS BIGINT) % 100 < 80 AS train FROM qs"
     out |= {"features_name": features_of(NAME), "features_address": features_of(ADDRESS), "features_cross": features_of(CROSS), "features_all": features_of(FEATURES)}
     return out

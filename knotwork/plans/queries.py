@@ -13,8 +13,10 @@ from ..sources import files
 from . import entities
 from .linkage import link, training_pairs
 
-#: The queries' limits: candidates of a query, and documents that a term may be in. Small ones, so that caps and fallbacks are used.
-K, CAP = 10, 20
+#: The queries' limits: candidates of a query, and documents that a term may be in.
+K, CAP = 50, 5000
+#: Small ones, for queries whose names end in `_capped`: there caps and fallbacks are used on small tables too.
+SMALL_K, SMALL_CAP = 10, 20
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -84,7 +86,7 @@ def posting_stats(spark, d):
 def traversed_postings(spark, d):
     q, t = entities.sides(spark, d)
     posted = index.postings(t, "char3")
-    asked = q.select(F.col("id").alias("q"), F.explode("char3").alias("term")).join(F.broadcast(posted.select("src").distinct()))
+    asked = q.select(F.col("id").alias("q"), F.explode("char3").alias("term")).withColumn("src", F.explode(F.array(*map(F.lit, retrieve.SOURCES))))
     return index.traversed(asked, posted)
 
 
@@ -99,7 +101,7 @@ def block_scope_fallback(spark, d):
     """Every other English query claims a country that no target has."""
     q, t = entities.sides(spark, d)
     moved = q.withColumn("country", F.when((F.col("country") == "EN") & (F.col("ord") % 2 == 0), "XX").otherwise(F.col("country")))
-    return retrieve.by_terms(moved, t, "char3", K, CAP).select("q", "src", "id", F.round("score", 9).alias("score"), "rank")
+    return retrieve.by_terms(moved, t, "char3", SMALL_K, SMALL_CAP).select("q", "src", "id", F.round("score", 9).alias("score"), "rank")
 
 
 def jaccard_rerank(spark, d):
@@ -112,9 +114,9 @@ def posting_self_pairs(spark, d):
     return retrieve.posting_pairs(t)
 
 
-def union_of(spark, d, strategy):
+def union_of(spark, d, strategy, k=K, cap=CAP):
     q, t = entities.sides(spark, d)
-    return union.candidates(q, t, strategy, K, CAP).select("q", F.array_join("candidates", ",").alias("candidates"))
+    return union.candidates(q, t, strategy, k, cap).select("q", F.array_join("candidates", ",").alias("candidates"))
 
 
 def union_single(spark, d):
@@ -125,7 +127,7 @@ def union_single(spark, d):
 def tier_merge(spark, d):
     q, t = entities.sides(spark, d)
     tiered = union.tiers(q, t, k=50, cap=CAP)
-    return union.merge(tiered, union.STRATEGIES["ablation_E_full_hybrid"], K).select("q", F.array_join("candidates", ",").alias("candidates"))
+    return union.merge(tiered, union.STRATEGIES["ablation_E_full_hybrid"], SMALL_K).select("q", F.array_join("candidates", ",").alias("candidates"))
 
 
 def guaranteed_universe(spark, d):
@@ -302,9 +304,12 @@ def entity_split(spark, d):
 
 
 def edit_soundex_features(spark, d):
+    """Edits between names, and whether their first words sound alike in English, of names that begin with a Latin letter."""
     q, t, found = rule_pairs(spark, d, names=["name_exact_match"])
     both = found.select("q", "id").join(q.select(F.col("id").alias("q"), F.col("norm_name").alias("x")), "q").join(t.select("id", F.col("norm_name").alias("y")), "id")
-    return both.select("q", "id", F.levenshtein("x", "y").cast("long").alias("edits"), F.round(1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"), F.lit(1)), 9).alias("likeness"))
+    first = lambda c: F.substring_index(c, " ", 1)
+    alike = (F.col("x").rlike("^[a-z]+( |$)") & F.col("y").rlike("^[a-z]+( |$)") & (F.soundex(first(F.col("x"))) == F.soundex(first(F.col("y"))))).cast("long")
+    return both.select("q", "id", F.levenshtein("x", "y").cast("long").alias("edits"), F.round(1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"), F.lit(1)), 9).alias("likeness"), alike.alias("sounds_alike"))
 
 
 def best_owner(spark, d):
@@ -331,6 +336,8 @@ def queries() -> dict:
     out |= {name: partial(term_df, kind=kind) for name, kind in (("token_df", "tokens"), ("trigram_df", "char3"), ("fourgram_df", "char4"), ("address_df", "addr"))}
     out |= {f"block_{name}": partial(block, tier=tier) for name, tier in (("exact", "exact"), ("tokens", "tokens"), ("trigrams", "char3"), ("fourgrams", "char4"), ("address", "addr"))}
     out |= {f"union_{name}": partial(union_of, strategy=s) for name, s in (("exact_name", "exact_name"), ("rare_tokens", "rare_tokens"), ("char_3gram", "char_3gram"), ("char_4gram", "char_4gram"), ("address", "address_tokens"), ("A", "ablation_A_disjunctive"), ("B", "ablation_B_char3"), ("C", "ablation_C_char4"), ("D", "ablation_D_char3_char4"), ("E", "ablation_E_full_hybrid"), ("composite", "composite_union"))}
+    out |= {f"block_{name}_capped": partial(block, tier=tier, k=SMALL_K, cap=SMALL_CAP) for name, tier in (("tokens", "tokens"), ("trigrams", "char3"), ("fourgrams", "char4"), ("address", "addr"))}
+    out |= {"union_E_capped": partial(union_of, strategy="ablation_E_full_hybrid", k=SMALL_K, cap=SMALL_CAP)}
     out |= {"features_name": partial(feature_group, names=features.NAME), "features_address": partial(feature_group, names=features.ADDRESS), "features_cross": partial(feature_group, names=features.CROSS), "features_all": partial(feature_group, names=features.FEATURES)}
     out |= {f"ablation_{name}": partial(macro_f05, allowed=matching.PREFIXES[p]) for name, p in (("name_only", "name_only"), ("name_addr", "name_address"))}
     out |= {f"validate_{c}": partial(validate_by, code=c) for c in ("duplicate_row", "duplicate_id", "self_match", "bad_prefix", "unknown_id", "missing_s1", "extra_s1", "not_subset")}
