@@ -157,14 +157,33 @@ def test_merging_tiers_early_or_late_is_the_same(random_sides):
         assert late == early
 
 
+def varied(rng, text):
+    """The text with a word dropped, doubled, misspelt or moved."""
+    words = text.split()
+    if not words:
+        return text
+    at = rng.randrange(len(words))
+    how = rng.randrange(4)
+    if how == 0 and len(words) > 1:
+        del words[at]
+    elif how == 1:
+        words.insert(at, words[at])
+    elif how == 2:
+        words[at] = words[at][::-1]
+    else:
+        words.append(words.pop(at))
+    return " ".join(words)
+
+
 def test_features(spark):
-    pairs = [
-        (("S1-100", "Orinoco Services LLC", "410 Terry Ave N, Seattle, WA 98109", "US"), ("S2-200", "Orinoco Web Services Inc", "410 Terry Ave North, Seattle, 98109", "US")),
-        (("S1-101", "Café de la Paix", "5 Place de l'Opéra, 75009 Paris", "FR"), ("S3-301", "Cafe de la Paix S.A.", "5 Pl. de l'Opera, Paris 75009", "FR")),
-        (("S1-102", "Toyota Motor Corp", "", "JP"), ("S2-202", "Honda Motor Co", "Minato-ku Tokyo", "JP")),
-        (("S1-103", "Acme Corp", "123 Main St", ""), ("S3-303", "Acme Corp", "123 Main St", "US")),
-        (("S1-104", "ООО Яндекс Маркет", "ул. Льва Толстого, 16, Москва 119021", "RU"), ("S2-204", "Yandex Market LLC", "Ul. Lva Tolstogo 16, Moscow", "RU")),
-    ]
+    rng = random.Random(9)
+    parts = ["kelp", "reef", "рыба", "漁港", "öre", "tide", "quay", "naïf", "a", "zz"]
+    pairs = []
+    for i in range(40):
+        name = " ".join(rng.choice(parts) for _ in range(rng.randint(1, 5)))
+        address = "" if rng.random() < 0.25 else " ".join([str(rng.randint(100, 99999)), *[rng.choice(parts) for _ in range(3)]])
+        other = "" if rng.random() < 0.25 else address if rng.random() < 0.4 else varied(rng, address)
+        pairs.append(((f"S1-{i}", name, address, rng.choice(["", "NO"])), (f"S{2 + i % 2}-{i}", name if i % 4 == 0 else varied(rng, name), other, "NO")))
     q, t = records(spark, [a for a, _ in pairs]), records(spark, [b for _, b in pairs])
     asked = spark.createDataFrame([(a[0], b[0]) for a, b in pairs], "q string, id string")
     got = {r.q: r for r in features.featurize(asked, q, t).collect()}
@@ -178,9 +197,9 @@ def test_features(spark):
         for name, column in (("name_token_jaccard", "name_tokens"), ("name_char3_jaccard", "char3"), ("name_char4_jaccard", "char4"), ("addr_token_jaccard", "addr_tokens"), ("addr_char3_jaccard", "addr_char3"), ("combined_token_jaccard", "comb")):
             assert r[name] == pytest.approx(jac(set(u[column]), set(v[column])))
         assert r.postal_overlap_count == len(set(u.postal) & set(v.postal)) and r.is_source2 == b[0].startswith("S2")
-        assert r.country_match == 1.0
-    assert got["S1-103"].name_exact_match == got["S1-103"].addr_exact_match == 1.0
-    assert got["S1-102"].s1_addr_missing == 1.0 and got["S1-102"].both_addr_missing == 0.0
+        assert r.country_match == 1.0 and r.name_exact_match == (u.norm_name == v.norm_name)
+        assert (r.s1_addr_missing, r.cand_addr_missing, r.both_addr_missing) == (u.norm_addr == "", v.norm_addr == "", u.norm_addr == v.norm_addr == "")
+    assert any(r.addr_exact_match for r in got.values()) and any(r.both_addr_missing for r in got.values())
     assert features.featurize(asked, q, t, zero_addr_char3=True).agg(F.max("addr_char3_jaccard")).first()[0] == 0.0
 
 
@@ -276,13 +295,29 @@ def test_stream(spark, small, tmp_path):
 
 def test_plans_have_no_nested_loops(random_sides):
     q, t = random_sides
-    for frame in (retrieve.by_terms(q, t, "char3", 10, 12), retrieve.exact(q, t), union.candidates(q, t, "ablation_A_disjunctive", 10, 12)):
-        plan = frame._jdf.queryExecution().optimizedPlan().toString()
-        assert "Cartesian" not in frame._jdf.queryExecution().executedPlan().toString() and plan
+    for frame in (retrieve.by_terms(q, t, "char3", 10, 12), retrieve.by_address(q, t, 10, 12), retrieve.exact(q, t, 10), union.candidates(q, t, "ablation_E_full_hybrid", 10, 12)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
     ranked = retrieve.by_terms(q, t, "tokens", 10, 12)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in ranked
 
 
+@pytest.mark.parametrize("k", [1, 3, None])
+def test_exact_names_against_brute_force(random_sides, k):
+    q, t = random_sides
+    got, targets = {}, t.collect()
+    for r in sorted(retrieve.exact(q, t, k).collect(), key=lambda r: r["rank"]):
+        got.setdefault((r.q, r.src), []).append(r.id)
+    want = {}
+    for a in q.collect():
+        for src in ("S2", "S3"):
+            same = sorted((x for x in targets if x.src == src and x.norm_name == a.norm_name != ""), key=lambda x: (x.ord, x.id))
+            here = [x for x in same if x.country == a.country != ""]
+            if same:
+                want[a.id, src] = [x.id for x in (here or same)][:k]
+    assert got == want and any(len(x) > 1 for x in want.values()) == (k != 1)
+
+
 def test_posting_stats(spark, random_sides):
     _, t = random_sides
     posted = index.postings(t, "tokens")
