@@ -7,8 +7,13 @@ Golay key. So each node also has BANDS keys, each of ROWS minima of its shingles
 pair at similarity s shares no key with chance (1 - s^4)^32, 5e-8 at 0.8, less above. Both kinds of keys
 only propose pairs: a pair is linked if the Jaccard similarity of its whole shingle sets is high enough.
 
-All pairs of a key are compared unless links already tie them together. That is done in rounds: some
-members of each key, those outside its larger components first, are compared with all others and then leave.
+Shingles that no other node with a shared key has can't be in an intersection. What is left of two sets
+without them bounds their similarity, and pairs below the bound, and nodes that can reach it with nobody,
+are dropped unseen: in a large group of copies with many edits each that is nearly all pairs.
+
+All other pairs of a key are compared unless links already tie them together. That is done in rounds: some
+members of each key are compared with all others and then leave; first the one with the least of its own,
+which ties most others, then those outside the larger components.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import alone, fresh, quoted, shared_dir, staged
+from .common import alone, discard, fresh, new_path, quoted, shared_dir, staged
 from .components import components
 from .simhash import fingerprint, links, shingle_hashes
 
@@ -111,31 +116,58 @@ def proposed(prints: DataFrame) -> DataFrame:
     return equal.unionByName(tied.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).distinct()
 
 
+def unique_shingles(sets: DataFrame) -> DataFrame:
+    """(node, unique): how many of a node's shingles no other node has; nodes without any are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                shingles = np.frombuffer(data.as_buffer(), "<i8")
+                for at in range(0, len(shingles), 100_000):
+                    some = shingles[at : at + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), node, np.int64)), pa.array(some)], ["node", "shingle"])
+
+    holders = sets.mapInArrow(run, "node long, shingle long").groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    return holders.where("node = last").groupBy("node").agg(F.count("*").alias("unique"))
+
+
 def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, component) of all nodes of members (key, node, size) with a similar one: component is the least node reachable.
 
     pairs: (a, b) that are compared before those of the members' keys; they spare later comparisons, and change nothing else.
     """
+    spark = members.sparkSession
     edges = staged(similar(pairs, sets, similarity), "similar")
-    tied, pivots, now = staged(components(edges), "tied"), PIVOTS[0], members
+    unique = staged(unique_shingles(sets), "unique")
+    common = members.join(unique, "node", "left").select("key", "node", "size", (F.col("size") - F.coalesce("unique", F.lit(0))).alias("common"))
+    tied, pivots, now, work = staged(components(edges), "tied"), PIVOTS[0], common.where(F.col("common") >= similarity * F.col("size") - 1e-9), []
+
+    def keep(frame: DataFrame, name: str) -> DataFrame:
+        work.append(new_path(spark, name))
+        return staged(frame, name, work[-1])
+
     while True:
-        now = now.join(tied, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+        before = list(work)
+        now = now.join(tied, "node", "left").select("key", "node", "size", "common", F.coalesce("component", "node").alias("component"))
         of_key = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
         mates = now.groupBy("key", "component").agg(F.count("*").alias("mates"))
-        opened = now.join(of_key, "key", "left_semi").join(mates, ["key", "component"])
-        opened = staged(opened, "open")
+        opened = keep(now.join(of_key, "key", "left_semi").join(mates, ["key", "component"]), "open")
         if opened.isEmpty():
+            discard(spark, *work)
             return tied
-        order = Window.partitionBy("key").orderBy("mates", "node")
-        first = staged(opened.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).select("key", "node", "size", "component", "place"), "pivots")
+        ways = (F.col("common") / F.col("size")).desc(), "node"
+        order = Window.partitionBy("key").orderBy(*(ways if pivots == PIVOTS[0] else ("mates", *ways)))
+        first = keep(opened.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).select("key", "node", "size", "common", "component", "place"), "pivots")
         others = opened.join(first.select("key", "node", "place"), ["key", "node"], "left")
-        ahead = first.select("key", F.col("node").alias("pivot"), F.col("size").alias("pivot_size"), F.col("component").alias("pivot_component"), F.col("place").alias("pivot_place"))
+        ahead = first.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("size", "common", "component", "place")], F.col("node").alias("pivot"))
         met = others.join(ahead, "key").where((F.col("component") != F.col("pivot_component")) & (F.col("place").isNull() | (F.col("place") > F.col("pivot_place"))))
-        near = met.where(F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9)
+        near = met.where((F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9) & (F.least("common", "pivot_common") >= similarity / (1 + similarity) * (F.col("size") + F.col("pivot_size")) - 1e-9))
         pairs = near.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
         edges = edges.unionByName(staged(similar(pairs, sets, similarity), "similar"))
         tied = staged(components(edges), "tied")
-        now = staged(others.where("place is null").select("key", "node", "size"), "left")
+        now = keep(others.where("place is null").select("key", "node", "size", "common"), "left")
+        discard(spark, *before)
+        work[:] = [x for x in work if x not in before]
         pivots = PIVOTS[1] if pivots < PIVOTS[1] else 4 * pivots
 
 
