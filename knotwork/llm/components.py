@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import discard, new_path, staged
+
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One star step on edges (a, b) with a > b: nodes are tied to the least node around them.
@@ -24,17 +26,26 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
+#: Edges that a file of a round's table holds at least, where there are as many.
+FILE_EDGES = 200_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of edges (a, b): component is the least node reachable.
 
-    Self loops and repeated edges count for nothing. Each round's edges are checkpointed in the shared
-    folder, and only their number and a hash sum come to the driver; rounds grow as the logarithm of the longest path.
+    Self loops and repeated edges count for nothing. Each round's edges are written to the shared folder,
+    which ends their lineage, and those of the round before are deleted; only their number and a hash sum
+    come to the driver. Rounds grow as the logarithm of the longest path.
     """
-    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
-    state = None
+    spark = edges.sparkSession
+    place = new_path(spark, "edges")
+    now = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges", place)
+    state, n = None, now.count()
     while True:
-        now = _stars(_stars(now, large=True), large=False).checkpoint()
+        before, place = place, new_path(spark, "edges")
+        now = staged(_stars(_stars(now, large=True), large=False).coalesce(1 + n // FILE_EDGES), "edges", place)
+        discard(spark, before)
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if new == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select("b", "b").toDF("node", "component")).distinct()
-        state = new
+        state, n = new, new[0]

@@ -13,7 +13,8 @@ are dropped unseen: in a large group of copies with many edits each that is near
 
 All other pairs of a key are compared unless links already tie them together. That is done in rounds: some
 members of each key are compared with all others and then leave; first the one with the least of its own,
-which ties most others, then those outside the larger components.
+which ties most others, then those outside the larger components. A pair with several keys in common
+is compared at the first of them alone.
 """
 
 from __future__ import annotations
@@ -131,10 +132,10 @@ def unique_shingles(sets: DataFrame) -> DataFrame:
     return holders.where("node = last").groupBy("node").agg(F.count("*").alias("unique"))
 
 
-def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, all_keys: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, component) of all nodes of members (key, node, size) with a similar one: component is the least node reachable.
 
-    pairs: (a, b) that are compared before those of the members' keys; they spare later comparisons, and change nothing else.
+    all_keys: (node, keys) with a key for each band, in order. pairs: (a, b) that are compared before those of the members' keys; they spare later comparisons, and change nothing else.
     """
     spark = members.sparkSession
     edges = staged(similar(pairs, sets, similarity), "similar")
@@ -158,11 +159,13 @@ def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: fl
         ways = (F.col("common") / F.col("size")).desc(), "node"
         order = Window.partitionBy("key").orderBy(*(ways if pivots == PIVOTS[0] else ("mates", *ways)))
         first = keep(opened.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).select("key", "node", "size", "common", "component", "place"), "pivots")
-        others = opened.join(first.select("key", "node", "place"), ["key", "node"], "left")
-        ahead = first.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("size", "common", "component", "place")], F.col("node").alias("pivot"))
+        first = first.join(all_keys, "node")
+        others = opened.join(first.select("key", "node", "place"), ["key", "node"], "left").join(all_keys, "node")
+        ahead = first.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("size", "common", "component", "place", "keys")], F.col("node").alias("pivot"))
         met = others.join(ahead, "key").where((F.col("component") != F.col("pivot_component")) & (F.col("place").isNull() | (F.col("place") > F.col("pivot_place"))))
         near = met.where((F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9) & (F.least("common", "pivot_common") >= similarity / (1 + similarity) * (F.col("size") + F.col("pivot_size")) - 1e-9))
-        pairs = near.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
+        once = F.array_position(F.zip_with("keys", "pivot_keys", lambda x, y: x == y), True) == F.array_position("keys", F.col("key"))
+        pairs = near.where(once).select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
         edges = edges.unionByName(staged(similar(pairs, sets, similarity), "similar"))
         tied = staged(components(edges), "tied")
         now = keep(others.where("place is null").select("key", "node", "size", "common"), "left")
@@ -188,7 +191,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     members = staged(keyed.join(shared, "key", "left_semi").select("key", "node", "size"), "members")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "fp", F.col("least.row").alias("row"))
     texts = rows.select(F.col(name).alias("row"), text.alias("text")).join(wanted, "row").dropDuplicates(["row"])
-    tied = groups(members, staged(shingle_sets(texts, words), "sets"), proposed(wanted.select("node", "fp")), similarity)
+    tied = groups(members, staged(shingle_sets(texts, words), "sets"), proposed(wanted.select("node", "fp")), nodes.select("node", "keys"), similarity)
     found = nodes.select("node", "least").join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return found, rows, name
 
