@@ -4,8 +4,8 @@ A text's shingles are all runs of `words` words; texts with the same set are one
 fingerprints of the sets are linked as `simhash` links them, at 2 differing bits or fewer. That ties most
 close copies, but two sets at similarity 0.8 differ in 9 or 10 of 64 bits on average, out of reach of any
 Golay key. So each node also has BANDS keys, each of ROWS minima of its shingles under hash functions: a
-pair at similarity s shares no key with chance (1 - s^4)^32, 5e-8 at 0.8, less above. Both kinds of keys
-only propose pairs: a pair is linked if the Jaccard similarity of its whole shingle sets is high enough.
+pair at similarity s is proposed if it has three of them in common, which at 0.8 it hasn't with a chance of
+1.2e-5, less above. Both kinds of keys only propose pairs: a pair is linked if the Jaccard similarity of its whole shingle sets is high enough.
 
 Shingles that no other node with a shared key has can't be in an intersection. What is left of two sets
 without them bounds their similarity, and pairs below the bound, and nodes that can reach it with nobody,
@@ -20,6 +20,7 @@ is compared at the first of them alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,10 @@ from .components import components
 from .simhash import fingerprint, links, shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
+#: Keys that a pair must have in common. Of b bands, each shared with chance p = s^4, fewer are shared with the chance of a binomial tail.
+SHARED = 3
+#: Bytes of shingle sets that one job brings together to verify pairs, if four times all sets are less.
+VERIFIED = 1 << 28
 BANDS, ROWS = 32, 4
 #: Members of a key that are compared in the first round and the second; from then on four times as many each round.
 PIVOTS = (1, 8)
@@ -105,8 +110,15 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -
                 keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    whole = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return whole.mapInArrow(run, "a long, b long")
+    def verified(some: DataFrame) -> DataFrame:
+        return some.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+    # every pair brings two sets together: in as many jobs as keep that small beside the sets themselves
+    pairs = staged(pairs, "pairs")
+    held = sets.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("shingles")), F.lit(0)).alias("bytes")).first()
+    slices = 1 + pairs.count() * 2 * held["bytes"] // max(1, held["n"]) // max(VERIFIED, 4 * held["bytes"])
+    found = [staged(verified(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == i)), "similar") for i in range(slices)]
+    return reduce(DataFrame.unionByName, found)
 
 
 def proposed(prints: DataFrame) -> DataFrame:
@@ -138,7 +150,7 @@ def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, all_keys: Data
     all_keys: (node, keys) with a key for each band, in order. pairs: (a, b) that are compared before those of the members' keys; they spare later comparisons, and change nothing else.
     """
     spark = members.sparkSession
-    edges = staged(similar(pairs, sets, similarity), "similar")
+    edges = similar(pairs, sets, similarity)
     unique = staged(unique_shingles(sets), "unique")
     common = members.join(unique, "node", "left").select("key", "node", "size", (F.col("size") - F.coalesce("unique", F.lit(0))).alias("common"))
     tied, pivots, now, work = staged(components(edges), "tied"), PIVOTS[0], common.where(F.col("common") >= similarity * F.col("size") - 1e-9), []
@@ -164,9 +176,10 @@ def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, all_keys: Data
         ahead = first.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("size", "common", "component", "place", "keys")], F.col("node").alias("pivot"))
         met = others.join(ahead, "key").where((F.col("component") != F.col("pivot_component")) & (F.col("place").isNull() | (F.col("place") > F.col("pivot_place"))))
         near = met.where((F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9) & (F.least("common", "pivot_common") >= similarity / (1 + similarity) * (F.col("size") + F.col("pivot_size")) - 1e-9))
-        once = F.array_position(F.zip_with("keys", "pivot_keys", lambda x, y: x == y), True) == F.array_position("keys", F.col("key"))
+        same = F.zip_with("keys", "pivot_keys", lambda x, y: x == y)
+        once = (F.array_position(same, True) == F.array_position("keys", F.col("key"))) & (F.size(F.filter(same, lambda x: x)) >= SHARED)
         pairs = near.where(once).select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        edges = edges.unionByName(staged(similar(pairs, sets, similarity), "similar"))
+        edges = edges.unionByName(similar(pairs, sets, similarity))
         tied = staged(components(edges), "tied")
         now = keep(others.where("place is null").select("key", "node", "size", "common"), "left")
         discard(spark, *before)
