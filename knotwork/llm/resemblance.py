@@ -179,8 +179,10 @@ def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, all_keys: Data
         same = F.zip_with("keys", "pivot_keys", lambda x, y: x == y)
         once = (F.array_position(same, True) == F.array_position("keys", F.col("key"))) & (F.size(F.filter(same, lambda x: x)) >= SHARED)
         pairs = near.where(once).select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        edges = edges.unionByName(similar(pairs, sets, similarity))
-        tied = staged(components(edges), "tied")
+        found = similar(pairs, sets, similarity)
+        if not found.isEmpty():
+            edges = staged(edges.unionByName(found), "edges")
+            tied = staged(components(edges), "tied")
         now = keep(others.where("place is null").select("key", "node", "size", "common"), "left")
         discard(spark, *before)
         work[:] = [x for x in work if x not in before]
