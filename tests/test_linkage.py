@@ -4,6 +4,7 @@ import difflib
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,32 @@ def test_search_against_brute_force(random_sides, kind, cap):
     assert got == {key: ids for key, ids in want.items() if ids}
 
 
+def test_equal_weights_are_ties_whatever_their_order(spark):
+    """Two records meet the same weights by different words: their sums are the same to the last bit, and the first one goes first.
+
+    The sums are a hair from where twelve digits are rounded up or down. Joins are those of large tables, in which words meet in any order.
+    """
+    drawn = np.random.default_rng(5).integers(1, 10, (100_000, 24))
+    exact_sums = (1 / (1 + 0.1 * drawn)).astype(np.longdouble).sum(axis=1) * 1e12
+    rows, close = [], drawn[np.abs(exact_sums % 1 - 0.5) < 1e-3][:100].tolist()
+    for g, df in enumerate(close):
+        name = lambda side, least, g=g, df=df: " ".join(f"{side}{g}x{i}" for i, n in enumerate(df) if n >= least)
+        rows += [(f"S1-{g}", f"{name('t', 1)} {name('u', 1)}", "", "US"), (f"S2-{g}a", name("t", 1), "", "US"), (f"S2-{g}b", name("u", 1), "", "US")]
+        rows += [(f"S2-{g}c{n}", f"{name('t', n)} {name('u', n)}", "", "US") for n in range(2, 10)]
+    every = records(spark, rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        ranked = {(r.q, r.id): r for r in retrieve.by_terms(every.where("src = 'S1'"), every.where("src = 'S2'"), "tokens", 12).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(close) == 100
+    for g in range(len(close)):
+        a, b = (ranked[f"S1-{g}", f"S2-{g}{x}"] for x in "ab")
+        assert a.score == b.score and a.rank + 1 == b.rank
+
+
 def fold(tiers, strategy, k):
     """The union rules, step by step."""
     out = list(dict.fromkeys(tiers["exact_S2"] + tiers["exact_S3"])) if strategy.exact else []
