@@ -350,3 +350,15 @@ def test_posting_stats(spark, random_sides):
     posted = index.postings(t, "tokens")
     rows = [r for r in index.posting_stats(posted).collect() if r.scope == "*"]
     assert sum(r.postings for r in rows) == posted.count()
+
+
+def test_pairs_travel_without_token_sets(random_sides):
+    """A pair is a row of every exchange between its candidate and its query: no array but the short one of postal codes goes with it."""
+    q, t = random_sides
+    frame = features.featurize(retrieve.exact(q, t, 5).select("q", "id"), q.hint("merge"), t.hint("merge"))
+    plan = frame._jdf.queryExecution().optimizedPlan()
+    last = plan
+    while "Join" not in last.nodeName():
+        last = last.children().apply(0)
+    carried = last.children().apply(0).output().mkString(",")
+    assert "y_norm_name" in carried and not any(f"y_{c}#" in carried for c in ("name_tokens", "addr_tokens", "char3", "char4", "addr_char3", "comb"))
