@@ -362,3 +362,25 @@ def test_pairs_travel_without_token_sets(random_sides):
         last = last.children().apply(0)
     carried = last.children().apply(0).output().mkString(",")
     assert "y_norm_name" in carried and not any(f"y_{c}#" in carried for c in ("name_tokens", "addr_tokens", "char3", "char4", "addr_char3", "comb"))
+
+
+@pytest.mark.parametrize("block", [40, 1_000_000])
+def test_search_in_waves(random_sides, monkeypatch, block):
+    """The same rows however many blocks, slices and waves there are; a wave sends no more copies than the tables' terms, and no shuffle of it is left."""
+    q, t = random_sides
+    rows = lambda: sorted(map(tuple, retrieve.by_terms(q, t, "char3", 7, 12).collect()))
+    want, sent, kept = rows(), [], retrieve.staged
+    monkeypatch.setattr(retrieve, "BLOCK", block)
+    monkeypatch.setattr(retrieve, "SLICE", 50)
+    monkeypatch.setattr(retrieve, "WAVE", 100)
+    monkeypatch.setattr(retrieve, "staged", lambda frame, name: sent.append(name) or kept(frame, name))
+    assert rows() == want
+    assert sent[0] == "asked" and sent.count("searched") > 1, "query terms are looked up once, not once a wave"
+
+
+def test_a_posting_travels_as_one_number(random_sides):
+    q, t = random_sides
+    plan = retrieve.by_terms(q, t, "char3", 7, 12)._jdf.queryExecution().optimizedPlan()
+    while "CoGroup" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    assert plan.children().apply(1).schema().catalogString().count("array<bigint>") == 1
