@@ -384,3 +384,18 @@ def test_a_posting_travels_as_one_number(random_sides):
     while "CoGroup" not in plan.nodeName():
         plan = plan.children().apply(0)
     assert plan.children().apply(1).schema().catalogString().count("array<bigint>") == 1
+
+
+def test_tiers_travel_as_lists(random_sides):
+    """A tier's candidates meet the others' as one row a query, and tell sources by column, not by a name in each row."""
+    q, t = random_sides
+    tiered = union.tiers(q, t, ("tokens", "char3"), 7, 12)
+    plan = tiered._jdf.queryExecution().optimizedPlan().toString()
+    assert "tier" not in plan and "Union" not in plan
+    want = {(r.q, r.src): r.ids for r in retrieve.by_terms(q, t, "char3", 7, 12).groupBy("q", "src").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x["id"]).alias("ids")).collect()}
+    assert {(r.q, s): r[f"char3_{s}"] for r in tiered.collect() for s in ("S2", "S3") if r[f"char3_{s}"]} == want
+
+
+def test_one_block_is_not_ranked_again(random_sides):
+    q, t = random_sides
+    assert "Window" not in retrieve.by_terms(q, t, "tokens", 7, 12)._jdf.queryExecution().optimizedPlan().toString()
