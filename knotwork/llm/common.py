@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.working import FREED, discard, new_path, shared_dir, shuffles_freed, staged  # noqa: F401
+from ..sources.working import FREED, discard, new_path, shared_dir, shuffles_freed, staged, working  # noqa: F401
 
 #: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"

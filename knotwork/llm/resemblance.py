@@ -11,6 +11,10 @@ Shingles that no other node with a shared key has can't be in an intersection. W
 without them bounds their similarity, and pairs below the bound, and nodes that can reach it with nobody,
 are dropped unseen: in a large group of copies with many edits each that is nearly all pairs.
 
+So do marks, a bit for each shingle by its hash: a bit that one set has and another lacks stands for one shingle at
+least that the other lacks. Pairs are held against that before they are made, so of the pairs that aren't near
+copies only those whose difference the marks hide, by some bits in a hundred, are looked at in full.
+
 All other pairs of a key are compared unless links already tie them together. That is done in rounds: some
 members of each key are compared with all others and then leave; first the one with the least of its own,
 which ties most others, then those outside the larger components. A pair with several keys in common
@@ -24,10 +28,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import alone, discard, fresh, new_path, quoted, shared_dir, staged
+from .common import alone, discard, fresh, new_path, quoted, shared_dir, staged, working
 from .components import components
 from .simhash import fingerprint, links, shingle_hashes
 
@@ -37,6 +41,8 @@ SHARED = 3
 #: Bytes of shingle sets that one job brings together to verify pairs, if four times all sets are less.
 VERIFIED = 1 << 28
 BANDS, ROWS = 32, 4
+#: A shingle's bit among 2 ** MARKS is named by its hash's first bits.
+MARKS = 11
 #: Members of a key that are compared in the first round and the second; from then on four times as many each round.
 PIVOTS = (1, 8)
 BLOCK = 4096
@@ -87,6 +93,13 @@ def signatures(rows: DataFrame, words: int = WORDS) -> DataFrame:
     return rows.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, node long, size long, fp long, keys array<long>")
 
 
+def marks(shingles: np.ndarray) -> np.ndarray:
+    """The bits of a set's shingles, in 64-bit numbers."""
+    bits = np.zeros(1 << MARKS, np.uint8)
+    bits[(shingles >> np.uint64(64 - MARKS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
     """(node, shingles) from (node, text)."""
 
@@ -98,8 +111,31 @@ def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Those of the pairs (a, b) whose shingle sets have that Jaccard similarity at least."""
+def marked_sets(sets: DataFrame) -> DataFrame:
+    """(node, marks) from (node, shingles)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [marks(np.frombuffer(x.as_buffer(), "<u8")) for x in batch.column(1)]
+            flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
+            ends = pa.array(np.arange(len(found) + 1, dtype=np.int32) * ((1 << MARKS) // 64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)], ["node", "marks"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, marks array<long>")
+
+
+def lacking(a: str, b: str) -> Column:
+    """How many shingles of the set with marks a are not in the one with marks b, at least."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda n, x: n + x)
+
+
+def held(sets: DataFrame) -> tuple[int, int]:
+    """How many shingle sets there are, and their bytes."""
+    return tuple(sets.agg(F.count("*"), F.coalesce(F.sum(F.length("shingles")), F.lit(0))).first())
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, has: tuple[int, int] | None = None) -> DataFrame:
+    """Those of the pairs (a, b) whose shingle sets have that Jaccard similarity at least. has: what `held` says of the sets, if known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,8 +151,8 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -
 
     # every pair brings two sets together: in as many jobs as keep that small beside the sets themselves
     pairs = staged(pairs, "pairs")
-    held = sets.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("shingles")), F.lit(0)).alias("bytes")).first()
-    slices = 1 + pairs.count() * 2 * held["bytes"] // max(1, held["n"]) // max(VERIFIED, 4 * held["bytes"])
+    n, size = has or held(sets)
+    slices = 1 + pairs.count() * 2 * size // max(1, n) // max(VERIFIED, 4 * size)
     found = [staged(verified(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == i)), "similar") for i in range(slices)]
     return reduce(DataFrame.unionByName, found)
 
@@ -150,8 +186,10 @@ def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, all_keys: Data
     all_keys: (node, keys) with a key for each band, in order. pairs: (a, b) that are compared before those of the members' keys; they spare later comparisons, and change nothing else.
     """
     spark = members.sparkSession
-    edges = similar(pairs, sets, similarity)
+    has = held(sets)
+    edges = similar(pairs, sets, similarity, has)
     unique = staged(unique_shingles(sets), "unique")
+    all_keys = staged(all_keys.join(marked_sets(sets), "node"), "known")
     common = members.join(unique, "node", "left").select("key", "node", "size", (F.col("size") - F.coalesce("unique", F.lit(0))).alias("common"))
     tied, pivots, now, work = staged(components(edges), "tied"), PIVOTS[0], common.where(F.col("common") >= similarity * F.col("size") - 1e-9), []
 
@@ -173,16 +211,17 @@ def groups(members: DataFrame, sets: DataFrame, pairs: DataFrame, all_keys: Data
         first = keep(opened.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).select("key", "node", "size", "common", "component", "place"), "pivots")
         first = first.join(all_keys, "node")
         others = opened.join(first.select("key", "node", "place"), ["key", "node"], "left").join(all_keys, "node")
-        ahead = first.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("size", "common", "component", "place", "keys")], F.col("node").alias("pivot"))
+        ahead = first.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("size", "common", "component", "place", "keys", "marks")], F.col("node").alias("pivot"))
         met = others.join(ahead, "key").where((F.col("component") != F.col("pivot_component")) & (F.col("place").isNull() | (F.col("place") > F.col("pivot_place"))))
         near = met.where((F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9) & (F.least("common", "pivot_common") >= similarity / (1 + similarity) * (F.col("size") + F.col("pivot_size")) - 1e-9))
         same = F.zip_with("keys", "pivot_keys", lambda x, y: x == y)
         once = (F.array_position(same, True) == F.array_position("keys", F.col("key"))) & (F.size(F.filter(same, lambda x: x)) >= SHARED)
-        pairs = near.where(once).select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        found = similar(pairs, sets, similarity)
-        if not found.isEmpty():
-            edges = staged(edges.unionByName(found), "edges")
-            tied = staged(components(edges), "tied")
+        both = F.least(F.col("size") - lacking("marks", "pivot_marks"), F.col("pivot_size") - lacking("pivot_marks", "marks"))
+        able = both >= similarity / (1 + similarity) * (F.col("size") + F.col("pivot_size")) - 1e-9
+        pairs = near.where(once).where(able).select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
+        found = similar(pairs, sets, similarity, has)
+        if not found.isEmpty():  # what was tied before stands for the links that tied it
+            tied = staged(components(tied.toDF("a", "b").unionByName(found)), "tied")
         now = keep(others.where("place is null").select("key", "node", "size", "common"), "left")
         discard(spark, *before)
         work[:] = [x for x in work if x not in before]
@@ -219,9 +258,12 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     different texts are different documents. Null texts count as empty, and texts without a word are
     one group; an empty table gives an empty one.
     """
+    spark = docs.sparkSession
+    before, path = working(spark), new_path(spark, "kept")
     nodes, rows, name = near_copies(docs, words, similarity)
     (place,) = fresh(rows, "place")
-    kept = nodes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias(name))
+    kept = staged(nodes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias(name)), "kept", path)
+    discard(spark, *(working(spark) - before - {path}))
     one = Window.partitionBy(name).orderBy(name)
     first = rows.join(kept, name, "left_semi").withColumn(place, F.row_number().over(one)).where(F.col(place) == 1)
     return first.select(*[F.col(quoted(c)) for c in docs.columns])

@@ -56,3 +56,29 @@ def test_one_row_a_group_with_repeated_and_null_ids(spark):
     kept = [(r.doc_id, r.text) for r in resemblance.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
     assert sorted(kept[i] for i in range(len(kept)) if kept[i][0] is not None) == [(1, a), (1, b)]
     assert len(kept) == 3 and {(None, c), (None, c + " end")} & set(kept)
+
+
+def test_pairs_below_the_bound_are_dropped_by_their_marks(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"v{i}" for i in range(150)]
+    rows = []
+    for i in range(200):
+        words = list(base)
+        for at in rng.sample(range(5, 145, 5), 3):
+            words[at] = f"e{at} {rng.randrange(2)}"
+        rows.append((i, " ".join(words)))
+    looked, similar = [], resemblance.similar
+
+    def counted(pairs, *rest):
+        looked.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(resemblance, "similar", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in resemblance.keep_one(docs).collect()) == brute(rows)
+    assert sum(looked) < 1000
+    a, b = (resemblance.shingle_set(rows[i][1]) for i in (0, 1))
+    x, y = (resemblance.marks(s) for s in (a, b))
+    lacks = sum(int(p & ~q).bit_count() if p & ~q >= 0 else (int(p & ~q) + (1 << 64)).bit_count() for p, q in zip(x.tolist(), y.tolist(), strict=True))
+    found = spark.createDataFrame([(x.tolist(), y.tolist())], "x array<long>, y array<long>").select(resemblance.lacking("x", "y")).first()[0]
+    assert 0 < found == lacks <= len(set(a.tolist()) - set(b.tolist()))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import xxhash
 
+from knotwork.llm import components as stars
 from knotwork.llm import simhash
 from knotwork.llm.components import components
 
@@ -83,6 +84,19 @@ def test_components_of_paths_and_stars(spark):
     assert all(got[i] == 100 for i in range(100, 141)) and all(got[i] == 5 for i in range(200, 260)) and got[301] == 300
 
 
+def test_few_edges_take_few_tasks_and_star_rounds_find_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+    edges = spark.createDataFrame([(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(380)], "a long, b long")
+    spark.sparkContext.setJobGroup("few edges", "")
+    got = sorted(map(tuple, components(edges).collect()))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few edges"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8
+    monkeypatch.setattr(stars, "TASK_EDGES", 0)
+    assert got == sorted(map(tuple, components(edges).collect()))
+    assert components(edges.limit(0)).count() == 0
+
+
 def test_one_of_each_group_stays(docs, none):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
