@@ -29,12 +29,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alone, ascii_words, characters, discard, documents, labels, new_path, remainder, shuffles_freed, slices, staged, texts_of, width, word_digests
+from .common import alone, ascii_words, characters, discard, documents, labels, new_path, remainder, shuffles_freed, slices, staged, texts_of, width
 from .stirling import Stirling, drawn
 
 #: Rounds of seating; the first rounds, which are not averaged.
@@ -44,32 +43,58 @@ STRENGTHS = (10.0, 2.0, 1.0)
 #: Bytes of text that a task packs at once; a batch has 10,000 documents at most. Bytes of a piece of a bucket's row.
 BLOCK_BYTES, PIECE = 2_500_000, 250_000
 #: Characters of text that a bucket has on average at most. Tokens are dealt in so many waves, each to its share of the buckets.
-BUCKET_CHARS, WAVES = 16_000_000, 3
+BUCKET_CHARS, WAVES = 14_000_000, 3
 #: A word's restaurants are spread if it is more than this share of an average bucket. One document in so many is looked at.
 SPREAD, LOOKED_AT = 0.25, 8
 END = b"\n"  # no word holds it
 GOLDEN = 0x9E3779B97F4A7C15
 
 
-def names_of(words: list[bytes]) -> np.ndarray:
-    """64-bit names."""
-    return word_digests(pa.array(words, pa.binary()), xxhash.xxh64_digest, 1)[:, 0]
-
-
-END_NAME = names_of([END])[0]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+#: What is left of eight bytes of which the first 0 to 8 count.
+KEEP = np.asarray([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def word_names(words: pa.Array) -> np.ndarray:
+    """64-bit names of Arrow strings: their lengths, then eight bytes after eight, mixed in. No word passes through a Python object."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset)
+    text = np.zeros(int(offsets[-1]) + 8, np.uint8)
+    text[:-8] = np.frombuffer(words.buffers()[2] or b"", np.uint8, len(text) - 8)
+    eights = np.ndarray(len(text) - 7, "<u8", text, strides=(1,))  # those that begin at each byte
+
+    def mixed_in(names: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        return mixed(names ^ eights[at] & KEEP.take(left, mode="clip"))
+
+    at, left = offsets[:-1], np.diff(offsets)
+    names = mixed_in(left.astype(np.uint64) * np.uint64(GOLDEN), at, left)
+    rows = np.flatnonzero(left > 8)
+    at, left = at[rows] + 8, left[rows] - 8
+    while len(rows):
+        names[rows] = mixed_in(names[rows], at, left)
+        on = left > 8
+        rows, at, left = rows[on], at[on] + 8, left[on] - 8
+    return names
+
+
 def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A name for the two in this order."""
     return mixed(mixed(a + np.uint64(GOLDEN)) * np.uint64(3) + b)
 
 
+def names_of(words: list[bytes]) -> np.ndarray:
+    return word_names(pa.array(words, pa.binary()))
+
+
+END_NAME = names_of([END])[0]
+
+
 def uniform(keys: np.ndarray, seed: int) -> np.ndarray:
     """A number between 0 and 1 for each key."""
     salt = np.uint64((seed + 1) * GOLDEN % (1 << 64))
@@ -143,7 +168,7 @@ def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
             names = np.full(ends[-1], END_NAME)
             inside = np.ones(len(names), bool)
             inside[ends - 1] = False
-            names[inside] = word_digests(words, xxhash.xxh64_digest, 1)[:, 0]
+            names[inside] = word_names(words)
             before = np.concatenate(([END_NAME], names[:-1]))
             farther = np.concatenate(([END_NAME], before[:-1]))
             farther[ends - lengths - 1] = END_NAME
@@ -513,9 +538,11 @@ def add_up(table: pa.Table, n: int) -> pa.Table:
 
 
 def buckets(spark: SparkSession, size: int) -> int:
-    """A multiple of a shuffle's parts, so that each part has as many. 100,000 is the most that Spark's tables take."""
-    parts = width(spark)
-    return parts * max(1, min(-(-size // (BUCKET_CHARS * parts)), 100_000 // parts))
+    """As many as keep the average at BUCKET_CHARS, but at least one for each of a shuffle's parts: with fewer, Spark would move the table in buckets again.
+
+    What buckets send of their words grows with their number, so there are no more of them than that. 100,000 is the most that Spark's tables take.
+    """
+    return min(max(width(spark), -(-size // BUCKET_CHARS)), 100_000)
 
 
 def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN_IN) -> DataFrame:
@@ -535,7 +562,7 @@ def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN
     for wave in range(WAVES):
         sent = rows.mapInArrow(lambda batches: send(batches, shared.value, wave, WAVES), SENT)  # noqa: B023  run at once
         with shuffles_freed(spark):
-            sent.groupBy("bucket").applyInArrow(lambda table: merge(table, shared.value), MODEL).write.bucketBy(n_buckets, "bucket").option("path", place).option("compression", "zstd").saveAsTable(name_, mode="append")
+            sent.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(lambda table: merge(table, shared.value), MODEL).write.bucketBy(n_buckets, "bucket").option("path", place).option("compression", "zstd").saveAsTable(name_, mode="append")
     model = spark.table(name_)
     counted, whole = sums(model, COUNTS), model.select("bucket", "piece", "model")
 

@@ -201,3 +201,18 @@ def test_no_training_documents_and_no_working_tables_left(spark):
 def test_packed_numbers():
     for x in ([], [0, 255], [256], [1 << 20, 5], [1 << 40]):
         assert py.unpacked(py.packed(np.asarray(x, np.int64))).tolist() == x
+
+
+def test_names_go_by_all_bytes_of_a_word():
+    words = [b"a" * n + end for n in range(20) for end in (b"", b"\0", b"\0\0", b"b", "é".encode())][1:]
+    whole = pa.array(words, pa.binary())
+    names = py.word_names(whole)
+    assert len(set(names.tolist())) == len(set(words))
+    assert all(py.names_of([w])[0] == n for w, n in zip(words, names, strict=True))
+    assert (py.word_names(whole.slice(7, 30)) == names[7:37]).all() and not len(py.names_of([]))
+
+
+def test_buckets_go_by_the_text_alone_above_one_a_part(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert py.buckets(spark, 0) == py.buckets(spark, parts * py.BUCKET_CHARS) == parts
+    assert py.buckets(spark, parts * py.BUCKET_CHARS + 1) == parts + 1
