@@ -258,11 +258,13 @@ def send(batches: Iterator[pa.RecordBatch], dealt: Dealt, wave: int, waves: int)
 
 
 COUNTS = "n long, one1 long, two1 long, one2 long, two2 long"
-MODEL = "bucket int, piece int, model binary, " + COUNTS
+MODEL = "bucket int, piece int, model binary, tokens binary, " + COUNTS
+#: What only scoring needs of a bucket: it is kept apart, so that rounds don't read it.
+OF_TOKENS = ("entries", "runs", "owners", "blocks", "sizes", "heads")
 
 
 def merge(table: pa.Table, dealt: Dealt) -> pa.Table:
-    """A bucket's restaurants and tokens, pickled, in rows of PIECE bytes; the first one has the counts."""
+    """A bucket's restaurants and, apart, its tokens in rows of PIECE bytes; the first one has the counts."""
     parts: list[list[np.ndarray]] = [[], [], [], [], []]
     for b, br, n, nr, x, er, o in zip(*(table[c].to_pylist() for c in ("before", "before_runs", "names", "name_runs", "farther", "token_runs", "owners")), strict=True):
         name_runs = unpacked(nr)
@@ -304,9 +306,21 @@ def merge(table: pa.Table, dealt: Dealt) -> pa.Table:
     m["keys"], m["pair_keys"] = joined(pair[new], farther[new])[m["again"]], pair[new_pair][m["pair_again"]]
     customers = np.bincount(of_pair, np.minimum(counts, 1), len(pair_word))
     found = (int(counts.sum()), int((customers == 1).sum()), int((customers == 2).sum()), int((counts == 1).sum()), int((counts == 2).sum()))
-    data = pickle.dumps(m, 5)
+    own = {k: m.pop(k) for k in OF_TOKENS}
+    data, more = dense(m), dense(own)
     bucket = table["bucket"][0].as_py()
-    return table_of([(bucket, k, data[at : at + PIECE], *(found if not k else (0,) * 5)) for k, at in enumerate(range(0, len(data), PIECE))], MODEL)
+    return table_of([(bucket, k, data[at : at + PIECE] or None, more[at : at + PIECE] or None, *(found if not k else (0,) * 5)) for k, at in enumerate(range(0, max(len(data), len(more)), PIECE))], MODEL)
+
+
+def dense(values: dict) -> bytes:
+    """Pickled and compressed here: whatever carries it copies fewer bytes, again and again."""
+    data = pickle.dumps(values, 5)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def opened(pieces: list[tuple[int, bytes | None]]) -> dict:
+    data = b"".join(x for _, x in sorted(pieces, key=lambda p: p[0]) if x is not None)
+    return pickle.loads(pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd"))
 
 
 def closer(places: np.ndarray) -> np.ndarray:
@@ -316,7 +330,10 @@ def closer(places: np.ndarray) -> np.ndarray:
 
 def loaded(rows: pa.Table, with_tokens: bool = False) -> dict:
     """A bucket's restaurants from its rows, with their places summed up again."""
-    m = pickle.loads(b"".join(x for _, x in sorted(zip(rows["piece"].to_pylist(), rows["model"].to_pylist(), strict=True))))
+    places = rows["piece"].to_pylist()
+    m = opened(list(zip(places, rows["model"].to_pylist(), strict=True)))
+    if with_tokens:
+        m |= opened(list(zip(places, rows["tokens"].to_pylist(), strict=True)))
     for k in ("double", "pair_context"):
         m[k] = np.cumsum(m[k], dtype=np.int32)
     m["counts"] = unpacked(m["counts"])
@@ -375,13 +392,16 @@ class Seats:
 
     def slices(self, dealt: Dealt) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
         """The words, and the shared keys, that each reducer adds up."""
+        if "slices" in self.m:
+            return self.m["slices"]
         out = []
         for keys in (self.m["words"], self.m["shared_keys"]):
-            place = dealt.reducer(keys)
+            place = dealt.reducer(keys).astype(np.min_scalar_type(len(dealt.labels)))  # of 16 bits or fewer they are sorted by counting
             order = np.argsort(place, kind="stable")
             edges = np.searchsorted(place[order], np.arange(len(dealt.labels) + 1))
             out.append({k: order[edges[k] : edges[k + 1]] for k in range(len(dealt.labels))})
-        return out[0], out[1]
+        self.m["slices"] = out[0], out[1]
+        return self.m["slices"]
 
     def messages(self, bucket: int, dealt: Dealt) -> list[tuple]:
         """Rows for the reducers: keys and this bucket's part of their sums."""
@@ -565,6 +585,7 @@ def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN
             sent.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(lambda table: merge(table, shared.value), MODEL).write.bucketBy(n_buckets, "bucket").option("path", place).option("compression", "zstd").saveAsTable(name_, mode="append")
     model = spark.table(name_)
     counted, whole = sums(model, COUNTS), model.select("bucket", "piece", "model")
+    with_tokens = model.select("bucket", "piece", "model", "tokens")
 
     def keep(frame: DataFrame, what: str, *parts: str) -> DataFrame:
         work.append(new_path(spark, what))
@@ -607,7 +628,7 @@ def score_documents(docs: DataFrame, n_rounds: int = ROUNDS, burn_in: int = BURN
     kept = next(iter(before.values()))
     for k in list(before)[1:]:
         kept = kept.unionByName(before[k])
-    parts = whole.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(lambda left, right: score_bucket(left, right, averaged, shared.value), PARTS)
+    parts = with_tokens.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(lambda left, right: score_bucket(left, right, averaged, shared.value), PARTS)
     scores = staged(parts.groupBy("block").applyInArrow(lambda table: add_up(table, totals.n), SCORES), "scores")
     spark.sql(f"DROP TABLE IF EXISTS {name_}")
     discard(spark, place, *work)
