@@ -92,6 +92,29 @@ def blocking(queries: DataFrame, truth: DataFrame, found: DataFrame, universe: D
     return pairs.join(F.broadcast(cover))
 
 
+def blocking_of_equal(queries: DataFrame, targets: DataFrame, found: DataFrame, by: tuple[str, ...] = ("norm_name", "norm_addr")) -> DataFrame:
+    """What `blocking` gives where the true pairs are all records of the same texts (`by`, the first not empty), without making those pairs.
+
+    Of a text that many records share they are the product of its queries and its targets. So targets are counted by text and source,
+    each query takes its counts, and only candidates of the query's own text are looked for. An id names one record.
+    """
+    known = lambda frame, *more: frame.where(F.col(by[0]) != "").select(*more, *by).distinct()
+    mine, theirs = known(queries, F.col("id").alias("q")), known(targets, "id", F.substring_index("id", "-", 1).alias("s"))
+    of = lambda s: F.count_if(F.col("s") == s)
+    held = theirs.groupBy(*by).agg(F.count("*").alias("n"), of("S2").alias("n_S2"), of("S3").alias("n_S3"))
+    asked = mine.join(held, list(by))
+    shared = theirs.join(mine.select(*by).distinct(), list(by), "left_semi")
+    hits = found.select("q", "id").join(asked.select("q", *by), "q").join(shared, ["id", *by], "left_semi").select("q", "id").distinct()
+    met = hits.withColumn("s", F.substring_index("id", "-", 1)).groupBy("q").agg(F.count("*").alias("h"), of("S2").alias("h_S2"), of("S3").alias("h_S3"))
+    each = asked.join(met, "q", "left").select("n", "n_S2", "n_S3", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("h", "h_S2", "h_S3")])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    share = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(F.round(a / F.greatest(b, F.lit(1)), 6))
+    return each.agg(
+        total("n").alias("true_pairs"), total("h").alias("recovered"), share(total("h"), total("n")).alias("recall"), share(total("h_S2"), total("n_S2")).alias("recall_s2"), share(total("h_S3"), total("n_S3")).alias("recall_s3"),
+        F.count("*").alias("entities"), F.count_if(F.col("h") > 0).alias("covered"), F.count_if(F.col("h") == F.col("n")).alias("fully_covered"), share(F.count_if(F.col("h") > 0), F.count("*")).alias("coverage"),
+    )
+
+
 def volume(queries: DataFrame, found: DataFrame) -> DataFrame:
     """One row: how many candidates queries have, those without any included."""
     n = queries.select("q").distinct().join(found.groupBy("q").agg(F.count("*").alias("n")), "q", "left").select(F.coalesce("n", F.lit(0)).alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from knotwork.operators import features, index, matching, metrics, retrieve, union, validate
 from knotwork.operators.records import enrich
+from knotwork.plans import entities, queries
 from knotwork.plans.linkage import link, training_pairs, write_results
 from knotwork.sources import files
 from knotwork.streaming.linkage import link_stream
@@ -399,3 +400,23 @@ def test_tiers_travel_as_lists(random_sides):
 def test_one_block_is_not_ranked_again(random_sides):
     q, t = random_sides
     assert "Window" not in retrieve.by_terms(q, t, "tokens", 7, 12)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocking_makes_no_product_of_equal_records(spark):
+    """Recall over records of the same texts is that over all their pairs."""
+    copies = [(f"S{1 + i % 3}-{i}", "The Same Name" if i % 7 else f"Other {i // 21}", f"{i // 60} Long Road" if i % 5 else None, "US", i) for i in range(360)]
+    every = enrich(spark.createDataFrame([*copies, ("S1-900", None, None, None, 900), ("S2-901", None, None, None, 901), ("S1-902", "Alone", "", "", 902)], SCHEMA))
+    q, t = every.where("src = 'S1'"), every.where("src <> 'S1'")
+    found = retrieve.by_terms(q, t, "tokens", 5, 100).cache()
+    want = metrics.blocking(q.select(F.col("id").alias("q")), entities.truth(q, t), found, t).collect()
+    assert metrics.blocking_of_equal(q, t, found).collect() == want
+    assert 0 < want[0].recovered < want[0].true_pairs and want[0].fully_covered < want[0].covered
+    assert metrics.blocking_of_equal(q, t.where("false"), found).collect() == metrics.blocking(q.select(F.col("id").alias("q")), entities.truth(q, t.where("false")), found, t).collect()
+
+
+def test_blocking_recall_of_many_copies(spark, tmp_path, monkeypatch):
+    """3,000 copies of one text are two million true pairs, and they are counted, not made."""
+    spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("one two three four five six").alias("text"), F.lit("en").alias("lang"), F.lit(27).cast("long").alias("n_chars")).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(entities, "truth", lambda *_: pytest.fail("pairs are made"))
+    row = queries.blocking_recall(spark, str(tmp_path)).collect()[0]
+    assert (row.true_pairs, row.recovered, row.recall, row.entities, row.covered, row.fully_covered) == (2_000_000, 100_000, 0.05, 1000, 1000, 0)
